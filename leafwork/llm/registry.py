@@ -1,8 +1,15 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
+from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
+from leafwork.llm.quality import OP3_SQL, op3_quality
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op3_quality": op3_quality,
+    "op7_mixing": op7_mixing,
+}
+ORACLES = {
+    "op3_quality": OP3_SQL,
+    "op7_mixing": OP7_SQL,
 }
-ORACLES: dict[str, str] = {}
