@@ -17,11 +17,11 @@ RULES: list[tuple[str, str]] = [
     ("too_few_words", "n_words < 10"),
     ("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     ("symbols_per_word", "10 * n_symbols > n_words"),
-    ("duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("duplicate_lines", "2 * n_dup_lines > n_lines"),
     ("word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
     ("capitals", "2 * n_capitals > n_letters"),
     ("exclamations", "5 * n_exclamations > n_words"),
-    ("few_letters", "10 * n_letters < 6 * word_chars"),
+    ("few_letters", "2 * n_letters < word_chars"),
 ]
 BITS = {name: k for k, (name, _) in enumerate(RULES)}
 #: The rules of each policy version; a version is never changed, a new one is added.
@@ -150,10 +150,10 @@ a as (
 b as (
   select *, cast(
     (case when n_words < 10 then 1 else 0 end) + (case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end)
-    + (case when 10 * n_symbols > n_words then 4 else 0 end) + (case when 10 * n_dup_lines > 3 * n_lines then 8 else 0 end)
+    + (case when 10 * n_symbols > n_words then 4 else 0 end) + (case when 2 * n_dup_lines > n_lines then 8 else 0 end)
     + (case when word_chars < 2 * n_words or word_chars > 15 * n_words then 16 else 0 end)
     + (case when 2 * n_capitals > n_letters then 32 else 0 end) + (case when 5 * n_exclamations > n_words then 64 else 0 end)
-    + (case when 10 * n_letters < 6 * word_chars then 128 else 0 end) as bigint) as failed_bits
+    + (case when 2 * n_letters < word_chars then 128 else 0 end) as bigint) as failed_bits
   from a)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed, failed_bits = 0 as kept, failed_bits

@@ -3,9 +3,11 @@
 from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
 from leafwork.llm.quality import OP3_SQL, op3_quality
+from leafwork.llm.secrets import op2_secrets
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
     "op7_mixing": op7_mixing,
 }
