@@ -1,15 +1,19 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
+from leafwork.llm.language import op6_language
 from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
 from leafwork.llm.quality import OP3_SQL, op3_quality
 from leafwork.llm.secrets import op2_secrets
+from leafwork.llm.warc import op10_warc
 
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
+    "op6_language": op6_language,
     "op7_mixing": op7_mixing,
+    "op10_warc": op10_warc,
 }
 ORACLES = {
     "op3_quality": OP3_SQL,
