@@ -1,5 +1,6 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
+from leafwork.llm.jaccard import op8_jaccard
 from leafwork.llm.language import op6_language
 from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
+    "op8_jaccard": op8_jaccard,
     "op10_warc": op10_warc,
 }
 ORACLES = {
