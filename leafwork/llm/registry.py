@@ -6,12 +6,14 @@ from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
 from leafwork.llm.quality import OP3_SQL, op3_quality
 from leafwork.llm.secrets import op2_secrets
+from leafwork.llm.topk import OP4_SQL, op4_topk
 from leafwork.llm.warc import op10_warc
 
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
+    "op4_topk": op4_topk,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op8_jaccard": op8_jaccard,
@@ -19,5 +21,6 @@ QUERIES = {
 }
 ORACLES = {
     "op3_quality": OP3_SQL,
+    "op4_topk": OP4_SQL,
     "op7_mixing": OP7_SQL,
 }
