@@ -1,8 +1,61 @@
-"""Stages from raw documents to packed sequences."""
+"""From raw documents to packed sequences: rules, near duplicates, secrets, mixing, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Null
+and empty texts fail the quality rules, so later stages see text only; an empty table passes through all stages.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafwork.llm import jaccard, mixing, packing, quality, secrets
+from leafwork.llm.common import materialize, table, word_count
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that policy v1 accepts."""
+    return quality.keep_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by 5-word shingles at a similarity of 0.8 or more: the smallest doc_id."""
+    return jaccard.keep_one(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in the text replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    mixed = mixing.mix(docs.withColumn("size", word_count(F.col("text"))))
+    return mixed.filter("copies > 0").withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of at most 2048 ids."""
+    return packing.pack(packing.token_pieces(docs))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("secret scan", secret_scan),
+    ("source mix", source_mix),
+    ("packing", pack_sequences),
+]
+
+#: The shingle hashes, the Markov scan and the tokenizer are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table; what a stage returns is stored and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = materialize(docs, name.replace(" ", "-"))
+    return docs
