@@ -85,7 +85,7 @@ def _pairs(strings: DataFrame, column: str) -> DataFrame:
     return strings.selectExpr(f"explode({pair}) as pair").groupBy("pair").count()
 
 
-def train(docs: DataFrame, found: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
     """Log ratios of random against ordinary by pair of characters, (len(ALPHABET) + 1) squared values.
 
     Labels: values that the patterns found are random strings; words outside of them, with letters, are ordinary
@@ -93,8 +93,8 @@ def train(docs: DataFrame, found: DataFrame, train_docs: int = TRAIN_DOCS) -> li
     What reaches the driver is a count for each pair of characters.
     """
     order = F.xxhash64("doc_id")
-    hits = found.filter("size(_assign) + size(_access) + size(_hex) > 0").orderBy(order, "doc_id").limit(train_docs)
-    values = hits.selectExpr("explode(transform(concat(_assign, _access, _hex), s -> s.value)) as v").filter("char_length(v) >= 16").selectExpr(f"regexp_replace(v, '[^A-Za-z0-9+/_=-]', '') as v").filter("v <> ''")
+    hits = docs.select("doc_id", "text").filter(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).orderBy(order, "doc_id").limit(train_docs)
+    values = pattern_spans(hits).selectExpr("explode(transform(concat(_assign, _access, _hex), s -> s.value)) as v").filter("char_length(v) >= 16").selectExpr(f"regexp_replace(v, '[^A-Za-z0-9+/_=-]', '') as v").filter("v <> ''")
     plain = docs.select("doc_id", "text").filter("text is not null").orderBy(order, "doc_id").limit(train_docs)
     names = plain.selectExpr(f"explode(regexp_extract_all(regexp_replace(text, '{ASSIGN.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}|{ACCESS}|{HEX}', ' '), '{IDENTIFIER}', 0)) as v").filter("v rlike '[A-Za-z]'")
     size = len(ALPHABET) + 1
@@ -116,7 +116,7 @@ def judged(found: DataFrame, ratios: list[float], least: float = LEAST_RATIO) ->
     return some.withColumn("_markov", F.expr(f"filter(_runs, r -> {score} >= {least}D)")).drop("_ratios")
 
 
-def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = LEAST_RATIO, store: bool = True) -> DataFrame:
+def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = LEAST_RATIO) -> DataFrame:
     """`docs` with secrets: array<struct<start, kind_order, end, kind, value>>, sorted by start and kind.
 
     A null or empty text has none. Kinds may overlap; spans of one kind don't. Repeated rows are scanned each. Columns
@@ -125,7 +125,7 @@ def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = LEAST_RAT
     own = [c for c in docs.columns if c != "secrets" and not c.startswith("_")]
     docs = docs.select(*[f"`{c}`" for c in own])
     found = pattern_spans(docs)
-    ratios = train(docs, pattern_spans(docs.filter(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}"))), train_docs)
+    ratios = train(docs, train_docs)
     every = ", ".join(f"transform(_{k}, s -> named_struct('start', s.start, 'kind_order', {n}, 'end', s.end, 'kind', '{k}', 'value', s.value))" for n, k in enumerate(KINDS))
     return judged(found, ratios, least).select(*[f"`{c}`" for c in own], F.expr(f"array_sort(concat({every}))").alias("secrets"))
 
