@@ -6,6 +6,7 @@ from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
 from leafwork.llm.quality import OP3_SQL, op3_quality
 from leafwork.llm.secrets import op2_secrets
+from leafwork.llm.suffixes import op9_suffixes
 from leafwork.llm.topk import OP4_SQL, op4_topk
 from leafwork.llm.warc import op10_warc
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op8_jaccard": op8_jaccard,
+    "op9_suffixes": op9_suffixes,
     "op10_warc": op10_warc,
 }
 ORACLES = {
