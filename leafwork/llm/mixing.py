@@ -25,7 +25,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
     Weights go round the sources by code point, null last. Resharing the excess of stopped sources until none is above
     its limit gives every source min(limit, weight * level) for one level. Sorted by limit per weight, the sources
-    stopped are a prefix, and the level follows from the sums after it.
+    stopped are a prefix. The level that a prefix would give rises as long as its next source must stop too, and falls
+    from there on, so the level wanted is the greatest of all.
     """
     w = "array(" + ", ".join(f"{float(x)}D" for x in weights) + ")"
     ranked = sizes.selectExpr("source", "source_size", f"{w}[pmod(row_number() over (order by source asc nulls last) - 1, {len(weights)})] as _weight")
@@ -33,8 +34,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     order = "over (order by _limit / _weight, source nulls last rows between"
     sums = limits.selectExpr("*", f"coalesce(sum(_limit) {order} unbounded preceding and 1 preceding), 0D) as _stopped", f"sum(_weight) {order} current row and unbounded following) as _open")
     levels = sums.selectExpr("*", "(_all - _stopped) / _open as _level")
-    level = levels.selectExpr("*", "min(if(_level <= _limit / _weight, _level, null)) over () as _least")
-    return level.selectExpr("source", "source_size", "case when _least is null then _limit else least(_limit, _least * _weight) end as target")
+    level = levels.selectExpr("*", "max(_level) over () as _top")
+    return level.selectExpr("source", "source_size", "least(_limit, _top * _weight) as target")
 
 
 def offset(source: Column, seed: int) -> Column:
@@ -91,8 +92,7 @@ l as (select *, cast(3 * source_size as double) as lim, cast(sum(source_size) ov
 c as (
   select *, (total - coalesce(sum(lim) over (order by lim / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))
     / sum(weight) over (order by lim / weight, source nulls last rows between current row and unbounded following) as lev from l),
-t as (select source, source_size, case when least_level is null then lim else least(lim, least_level * weight) end as target
-  from (select *, min(case when lev <= lim / weight then lev end) over () as least_level from c)),
+t as (select source, source_size, least(lim, top * weight) as target from (select *, max(lev) over () as top from c)),
 r as (select *, row_number() over (partition by source order by size, bucket, doc_id) - 1 as k from k),
 j as (
   select doc_id, size, source_size, target, k, case when source_size > 0 then target / source_size else 0 end as rate,
