@@ -1,9 +1,9 @@
 """Mixing sources to target weights by systematic sampling.
 
 Each document of a source has the same expected number of copies, target over source size. Laid end to end within the
-source, in the order of size, bucket and doc_id, these expectations are a line; the source's random offset places marks
-at distance one, and a document is taken once per mark within its stretch. The order by size spreads the marks over
-all sizes, so the words taken come within about one long document of the target.
+source, these expectations are a line; the source's random offset places marks at distance one, and a document is taken
+once per mark within its stretch. The line goes up through the even sizes and down through the odd ones, then by bucket
+and doc_id. So the marks spread over all sizes, and what the offset adds on the way up it takes off on the way down.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from leafwork.llm.common import table, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
+_LINE = "if(size % 2 = 0, size, 1099511627776 - size)"
 #: Documents of one source and size that one task ranks, about.
 BUCKET_ROWS = 20_000
 LEAST_BUCKETS = 16
@@ -60,7 +61,7 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = WEIGHTS, most
     by_size = sizes.groupBy("source", "size").agg(F.sum("_n").alias("_m"))
     target = targets(by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("_m")).alias("source_size")), weights, most)
     ahead = "rows between unbounded preceding and 1 preceding"
-    size_ahead = by_size.selectExpr("source", "size", f"coalesce(sum(_m) over (partition by source order by size {ahead}), 0) as _before_size")
+    size_ahead = by_size.selectExpr("source", "size", f"coalesce(sum(_m) over (partition by source order by {_LINE} {ahead}), 0) as _before_size")
     bucket_ahead = sizes.selectExpr("source", "size", "_bucket", f"coalesce(sum(_n) over (partition by source, size order by _bucket {ahead}), 0) as _before_bucket")
     a, b, t = bucket_ahead.alias("a"), size_ahead.alias("b"), target.alias("t")
     starts = (
@@ -93,7 +94,7 @@ c as (
   select *, (total - coalesce(sum(lim) over (order by lim / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))
     / sum(weight) over (order by lim / weight, source nulls last rows between current row and unbounded following) as lev from l),
 t as (select source, source_size, least(lim, top * weight) as target from (select *, max(lev) over () as top from c)),
-r as (select *, row_number() over (partition by source order by size, bucket, doc_id) - 1 as k from k),
+r as (select *, row_number() over (partition by source order by case when size % 2 = 0 then size else 1099511627776 - size end, bucket, doc_id) - 1 as k from k),
 j as (
   select doc_id, size, source_size, target, k, case when source_size > 0 then target / source_size else 0 end as rate,
     cast(cast('0x' || substr(md5('7:' || coalesce('=' || r.source, 'null')), 1, 8) as bigint) as double) / 4294967296.0 as off
