@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from leafwork.plans.queries import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["isolated_reversal"](spark, sf_dir)
+FLAGSHIP = QUERIES["isolated_reversal"]
