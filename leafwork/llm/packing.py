@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import bisect
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -55,7 +54,7 @@ class _WordIds(dict):
     def piece(self, part: str) -> bytes:
         found = self.pieces.get(part)
         if found is None:
-            shown = part if part.isascii() else part.encode().decode("latin1").translate(self.bytes)
+            shown = part if part.isascii() and "\x7f" not in part else part.encode().decode("latin1").translate(self.bytes)
             ids = [t.id for t in self.model.tokenize(shown)]
             found = self.pieces[part] = struct.pack(f"<{len(ids)}I", *ids)
         return found
@@ -65,7 +64,8 @@ class _WordIds(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() or max(word) < "ɐ":  # Latin letters are in NFC and lower-case one by one
+        # Latin letters are in NFC and lower-case one by one; a dotted capital I gains a mark, which is no letter.
+        if word.isascii() or max(word) < "ɐ" and "\u0130" not in word:
             if word.isalpha():
                 found = self.piece(word.lower())
             elif "<|" in word or any(c < "!" for c in word):
