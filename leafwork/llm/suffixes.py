@@ -258,7 +258,7 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     once = contexts.filter("n = 1").select("core", "full")
     steps = materialize(copies.unionByName(induced.join(once, ["core", "full"], "left_semi")), "steps").selectExpr("core as _c", "full as _f", "from_step", "to_step")
     hit = rows.join(steps, F.expr("core = _c and full = _f")).selectExpr("uid", f"named_struct('a', lo + most - to_step, 'b', lo + most - from_step + {length}) as s")
-    return hit.distinct().groupBy("uid").agg(F.collect_list("s").alias("spans"))
+    return hit.groupBy("uid").agg(F.collect_list("s").alias("spans"))
 
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -269,8 +269,7 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("doc_id", "text"))
     spans = materialize(repeated(keyed, length), "spans")
-    small = spans.count() <= BROADCAST_IDS // 4
-    joined = keyed.join(F.broadcast(spans) if small else spans, "uid", "left").select("doc_id", "text", "spans")
+    joined = keyed.join(spans, "uid", "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
