@@ -30,6 +30,10 @@ TRAIN_DOCS = 2_000
 #: Log-likelihood ratio that a run needs: odds of e**12 against the rarity of secrets.
 LEAST_RATIO = 12.0
 SMOOTHING = 0.5
+#: Pairs' worth of weight that single characters have in a pair model, so that rare contexts say what their characters say.
+BACKOFF = 100
+#: The pair of characters that ends at the 1-based place i of the array c, as one number; 0 stands before the first.
+_PAIR = f"if(i = 1, 0, locate(c[if(i = 1, 0, i - 2)], '{ALPHABET}')) * {len(ALPHABET) + 1} + locate(c[i - 1], '{ALPHABET}')"
 _BLOCK = 256
 
 _SPAN = "array<struct<start: long, end: long, value: string>>"
@@ -80,8 +84,7 @@ def pattern_spans(docs: DataFrame) -> DataFrame:
 
 def _pairs(strings: DataFrame, column: str) -> DataFrame:
     """Counts of character pairs (a, b); a is 0 at the start, else the 1-based place in ALPHABET."""
-    at = lambda i: f"locate(substring({column}, {i}, 1), '{ALPHABET}')"
-    pair = f"transform(sequence(1, char_length({column})), i -> if(i = 1, 0, {at('i - 1')}) * {len(ALPHABET) + 1} + {at('i')})"
+    pair = f"element_at(transform(array(split({column}, '')), c -> transform(sequence(1, size(c)), i -> {_PAIR})), 1)"
     return strings.selectExpr(f"explode({pair}) as pair").groupBy("pair").count()
 
 
@@ -102,17 +105,16 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
     for strings in (values, names):
         counts = {r["pair"]: r["count"] for r in _pairs(strings, "v").collect()}
         sums = [sum(counts.get(a * size + b, 0) for b in range(1, size)) for a in range(size)]
-        tables.append([math.log((counts.get(a * size + b, 0) + SMOOTHING) / (sums[a] + SMOOTHING * len(ALPHABET))) for a in range(size) for b in range(size)])
+        single = [sum(counts.get(a * size + b, 0) for a in range(size)) + SMOOTHING for b in range(size)]
+        total = sum(single[1:])
+        tables.append([math.log((counts.get(a * size + b, 0) + BACKOFF * single[b] / total) / (sums[a] + BACKOFF)) for a in range(size) for b in range(size)])
     return [x - y for x, y in zip(*tables)]
 
 
 def judged(found: DataFrame, ratios: list[float], least: float = LEAST_RATIO) -> DataFrame:
     """`found` with _markov: the runs whose log-likelihood ratio, summed over their pairs, reaches `least`."""
-    size = len(ALPHABET) + 1
-    at = lambda i: f"locate(substring(r.value, {i}, 1), '{ALPHABET}')"
-    pair = f"_ratios[if(i = 1, 0, {at('i - 1')}) * {size} + {at('i')}]"
     some = found.withColumn("_ratios", F.when(F.size("_runs") > 0, F.array(*[F.lit(x) for x in ratios])))
-    score = f"aggregate(sequence(1, char_length(r.value)), 0D, (a, i) -> a + {pair})"
+    score = f"element_at(transform(array(split(r.value, '')), c -> aggregate(sequence(1, size(c)), 0D, (a, i) -> a + _ratios[{_PAIR}])), 1)"
     return some.withColumn("_markov", F.expr(f"filter(_runs, r -> {score} >= {least}D)")).drop("_ratios")
 
 
