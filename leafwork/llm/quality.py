@@ -90,7 +90,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     own = [c for c in docs.columns if c not in {*MEASURES, "failed_bits"}]
     rows = measured(docs.select(*[f"`{c}`" for c in own]))
     bits = " | ".join(f"if({rule}, {1 << k}L, 0L)" for k, (_, rule) in enumerate(RULES))
-    return rows.select(*[f"`{c}`" for c in own if c != "text"], *MEASURES, F.expr(bits).alias("failed_bits"))
+    return rows.select(*[f"`{c}`" for c in own if c != "text"], *MEASURES, F.expr(f"{bits} | if(monotonically_increasing_id() < 0, 1L, 0L)").alias("failed_bits"))  # see keep_documents
 
 
 def kept(policy: str = "v1") -> Column:

@@ -1,0 +1,138 @@
+"""Secret scans, quality rules and mixing against plain Python."""
+
+import hashlib
+import random
+import re
+import string
+
+from pyspark.sql import functions as F
+
+from leafwork.llm import mixing, quality, secrets
+
+WORD = re.compile("[^ \t-\r]+")
+KEYS = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+ASSIGN = re.compile(rf"""({KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+TEXTS = [
+    "", " \n\t", None, "token = 'abcdefgh' and TOKEN:short then Secret=12345678", "token:secret:abcdefgh", "😀 password=hunter2hunter2 😀 AKIA" + "Z9" * 8,
+    "AKIA123 AKIAABCDEFGHIJKL", "f" * 31 + " " + "0a" * 16 + "g" + "b" * 40, "api_key : \"" + "0123456789abcdef" * 3 + '"', "é" * 10 + "passwd=" + "x" * 9, "KEY ſecret=abcdefghij",
+    "the the the the the the the the the the the the", "a b c d e f g h i j\na b c d e f g h i j\n\n a\n a\nb", "# * $ % & | < > words", "x" * 500_000, "w " * 30_000, "one two three four five six seven eight nine ten eleven",
+]
+
+
+def docs(spark):
+    rows = [(k, t, "s" if k % 3 else None, 7) for k, t in enumerate(TEXTS)] + [(3, TEXTS[3], "s", 7), (None, "token=abcdefghi", "z", 7)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, _spans int").selectExpr("*", "1 as failed_bits", "2 as secrets", "3 as source_size", "length(text) as n_chars")
+
+
+def base(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+
+
+def test_secret_spans(spark):
+    d = docs(spark)
+    rows = secrets.scan(d).select("doc_id", "text", secrets.digest(F.filter("secrets", lambda s: s["kind"] != "markov")).alias("x")).collect()
+    assert len(rows) == d.count()
+    for r in rows:
+        assert r.x == base(r.text), r.text[:80]
+    assert secrets.scan(d.limit(0)).count() == 0
+
+
+def test_many_matches_have_right_places(spark):
+    text = "\n".join(f"é token = {'q' * (8 + k % 5)}" for k in range(2_000))
+    row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(secrets.digest(F.col("secrets")).alias("x")).first()
+    assert row.x == base(text)
+
+
+def test_markov_finds_random_strings_only(spark):
+    r = random.Random(5)
+    some = lambda n: "".join(r.choice(string.ascii_letters + string.digits) for _ in range(n))
+    plain = ["handle_incoming_request_for_session", "thereisnothingunusualhere", "understanding_of_the_situation"]
+    rows = [(k, f"the understanding of this situation is nothing unusual here for handle incoming request session token = {some(40)}") for k in range(200)]
+    rows += [(1000, f"left {some(36)} right"), (1001, " ".join(plain))]
+    found = {x.doc_id: x.secrets for x in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [s.kind for s in found[1000]] == ["markov"] and found[1001] == []
+
+
+def test_redaction(spark):
+    d = docs(spark)
+    out = secrets.redact(d)
+    rows = out.collect()
+    assert out.columns == d.columns and len(rows) == len(TEXTS) + 2
+    for r in rows:
+        if r.text is None:
+            assert r.doc_id == 2
+        else:
+            assert not base(r.text) and r.n_chars == len(r.text)
+
+
+def measures(text):
+    text = text or ""
+    w = WORD.findall(text)
+    windows = {}
+    for k in range(len(w) - 4):
+        windows.setdefault(tuple(w[k : k + 5]), []).append(k)
+    covered = {k + j for at in windows.values() if len(at) > 1 for k in at for j in range(5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_ledger(spark):
+    rows = quality.ledger(docs(spark)).collect()
+    for r in rows:
+        text = TEXTS[r.doc_id] if r.doc_id is not None else "token=abcdefghi"
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == measures(text), (text or "")[:60]
+    led = quality.ledger(docs(spark))
+    kept = led.filter(quality.kept("v1"))
+    cut = quality.ablation(led, "v1").first()
+    assert cut.n_docs == len(rows) and cut.n_kept == kept.count()
+    assert quality.keep_documents(docs(spark)).columns == docs(spark).columns
+    assert quality.keep_documents(docs(spark)).count() == kept.count()
+    assert quality.keep_documents(docs(spark).limit(0)).count() == 0
+
+
+def reshared(sizes, weights, most):
+    total, stopped = sum(sizes.values()), {}
+    while True:
+        free = [s for s in sizes if s not in stopped]
+        rest, w = total - sum(stopped.values()), sum(weights[s] for s in free)
+        t = {s: rest * weights[s] / w for s in free} if w else {}
+        over = [s for s in free if t[s] > most * sizes[s] + 1e-9]
+        if not over:
+            return t | stopped
+        stopped |= {s: most * sizes[s] for s in over}
+
+
+def test_targets_and_mix(spark):
+    r = random.Random(2)
+    rows = [(k, r.choices(["a", "b", "é", "z", None], [60, 3, 20, 1, 16])[0], r.randint(0, 400)) for k in range(4000)] + [(k, "copies", 33) for k in range(5000, 6500)]
+    d = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumn("target", F.lit("clash"))
+    got = mixing.mix(d).collect()
+    assert len(got) == len(rows) and sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix(d.repartition(3)).collect()), key=str)
+    sizes, taken, target = {}, {}, {}
+    for x in got:
+        sizes[x.source] = sizes.get(x.source, 0) + x.size
+        taken[x.source] = taken.get(x.source, 0) + x.size * x.copies
+        target[x.source] = x.target
+        assert 0 <= x.copies <= 3
+    names = [*sorted(s for s in sizes if s is not None), None]
+    want = reshared(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}, 3)
+    for s in names:
+        assert abs(target[s] - want[s]) < 1e-6 * max(1, want[s])
+        assert abs(taken[s] - want[s]) <= 800
+    assert mixing.mix(d.limit(0)).count() == 0
+
+
+def test_empty_sources(spark):
+    d = spark.createDataFrame([(1, "a", 0), (2, "b", 10), (None, None, 5)], "doc_id long, source string, size long")
+    assert {r.doc_id: r.copies for r in mixing.mix(d).collect()}[1] == 0
+    zero = spark.createDataFrame([(1, "a", 0)], "doc_id long, source string, size long")
+    assert mixing.mix(zero).first().copies == 0
+
+
+def test_digest_of_nothing(spark):
+    row = secrets.scan(spark.createDataFrame([(1, "plain")], "doc_id long, text string")).select(F.sha2(secrets.digest(F.col("secrets")), 256).alias("h")).first()
+    assert row.h == hashlib.sha256(b"").hexdigest()
