@@ -40,6 +40,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table in the shared folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def words(text: Column) -> Column:
     """The words [^\\x20\\x09-\\x0D]+ of a text as array<string>; null or blank text: empty."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import materialize, table
+from leafwork.llm.common import discard, fresh_path, materialize, table
 
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
@@ -30,6 +30,8 @@ CACHE_WORDS = 500_000
 BROADCAST_IDS = 1_000_000
 #: Members of one group that are compared in one task.
 BLOCK = 2_048
+#: Rounds in which each document verifies one pair, before all pairs that are left.
+ROUNDS = 3
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -109,8 +111,8 @@ def chunk_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
-    """Parities of a power of two of bits, at least 64 and about the set's size; halves fold by XOR."""
-    bits = max(64, 1 << max(0, int(len(s) - 1).bit_length() - 1))
+    """Parities of a power of two of bits, at least 64 and one to two times the set's size; halves fold by XOR."""
+    bits = max(64, 1 << int(len(s) - 1).bit_length())
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
@@ -216,7 +218,9 @@ def _close(pairs: DataFrame, num: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
-    """Those of `pairs` (a, b) that link, from the sets themselves."""
+    """Those of stored `pairs` (a, b) that link, from the sets themselves; only sets of these pairs are moved."""
+    ids = materialize(pairs.selectExpr("a as rep").union(pairs.select("b")).distinct(), "ids")
+    sets = sets.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_semi")
     full = pairs.join(sets.selectExpr("rep as a", "s as sa"), "a").join(sets.selectExpr("rep as b", "s as sb"), "b").select("a", "b", "sa", "sb")
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,39 +235,91 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     return full.mapInPandas(keep, "a long, b long")
 
 
-def _across(groups: DataFrame, num: int) -> DataFrame:
-    """Pairs (a, b) of sets of one group (key, node, comp, n, sketch) in different components that may link.
+def _linked(pairs: DataFrame, links: DataFrame | None, sets: DataFrame, num: int, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """All links so far that hold components together, with those of `pairs` (a, b), and the components.
 
-    A group meets in cells of two blocks; a cell yields the pairs that sizes and bit sketches allow, not all pairs.
+    A round verifies for each node its first pair left, then drops the pairs whose ends have met; the last takes all.
     """
+    comps = components(links) if links is not None else None
+    for k in range(rounds + 1):
+        if comps is not None:
+            ca, cb = comps.selectExpr("node as a", "label as la"), comps.selectExpr("node as b", "label as lb")
+            pairs = materialize(pairs.join(ca, "a", "left").join(cb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"), "pairs")
+        some = pairs
+        if k < rounds:
+            order = "min(a)" if k % 2 == 0 else "max(a)"
+            some = materialize(pairs.groupBy("b").agg(F.expr(order).alias("a")).select("a", "b"), "pairs")
+            pairs = pairs.join(some, ["a", "b"], "left_anti")
+        found = materialize(_verified(some, sets, num), "links")
+        links = found if links is None else links.unionByName(found)
+        comps = materialize(components(links), "components")
+    return links, comps
+
+
+def _across(groups: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
+    """Pairs (a, b) of sets of one group (key, node, comp, n) in different components that may link; `nodes` has by node
+    its sketch and keys.
+
+    A group meets in cells of two blocks. A cell yields the pairs that sizes and bit sketches allow, and each pair only
+    in the smallest key that both have, so what comes out is about as many pairs as there are links.
+    """
+    parts = max(1, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sizes = groups.groupBy("key").agg(F.count("*").alias("_m"))
     rows = groups.join(sizes.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).withColumn("_blocks", F.expr(f"cast((_m + {BLOCK - 1}) div {BLOCK} as int)"))
     rows = rows.withColumn("_own", F.expr("cast(pmod(xxhash64(node), _blocks) as int)")).withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
-    rows = rows.selectExpr("key", "least(_own, _other) as lo", "greatest(_own, _other) as hi", "_own as own", "node", "comp", "n", "sketch")
-    bands = Bands(num)
-
-    def cell(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.drop_duplicates("node").sort_values("node")
-        lo, hi = batch["lo"].iloc[0], batch["hi"].iloc[0]
-        size = min(map(len, batch["sketch"]))
-        bits = np.stack([_fold(np.frombuffer(x, np.uint8), size) for x in batch["sketch"]])
-        node, comp, n, own = (batch[c].to_numpy() for c in ("node", "comp", "n", "own"))
+    rows = rows.selectExpr("key", "least(_own, _other) as lo", "greatest(_own, _other) as hi", "_own as own", "node", "comp", "n")
+    cells = rows.join(nodes, "node").repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
+
+    def cell(key: int, lo: int, hi: int, own, node, comp, n, sketch, keys) -> tuple[list[int], list[int]]:
+        size = min(map(len, sketch))
+        bits = np.stack([_fold(np.frombuffer(x, np.uint8), size) for x in sketch])
+        many = [x[: np.searchsorted(x, key)] for x in (np.frombuffer(x, np.int64) for x in keys)]
+        seen, place, often = np.unique(np.concatenate(many), return_inverse=True, return_counts=True)
+        column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[place]
+        earlier = np.zeros((len(node), int((often > 1).sum())), bool)  # smaller keys that at least two members have
+        owner = np.repeat(np.arange(len(node)), [len(x) for x in many])
+        earlier[owner[column >= 0], column[column >= 0]] = True
+        earlier = np.packbits(earlier, axis=1)
         a, b = [], []
-        for k in range(len(batch)):
+        for k in range(len(node)):
             if lo == hi:
-                rest = np.arange(k + 1, len(batch))
+                rest = np.arange(k + 1, len(node))
             else:
                 rest = np.flatnonzero(own == hi) if own[k] == lo else np.empty(0, np.int64)
-            rest = rest[comp[rest] != comp[k]]
+            rest = rest[(comp[rest] != comp[k]) & (100 * np.minimum(n[rest], n[k]) >= num * np.maximum(n[rest], n[k]))]
             if len(rest):
                 far = np.bitwise_count(bits[rest] ^ bits[k]).sum(axis=1, dtype=np.int64)
-                ok = far <= (n[rest] + n[k]) * (100 - bands.num) // (100 + bands.num)
-                ok &= 100 * np.minimum(n[rest], n[k]) >= bands.num * np.maximum(n[rest], n[k])
-                a += [node[k]] * int(ok.sum())
-                b += node[rest[ok]].tolist()
-        return pd.DataFrame({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)} if a else {"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+                rest = rest[far <= (n[rest] + n[k]) * (100 - num) // (100 + num)]
+            if len(rest):
+                rest = rest[~(earlier[rest] & earlier[k]).any(axis=1)]
+                a += [node[k]] * len(rest)
+                b += node[rest].tolist()
+        return a, b
 
-    return rows.groupBy("key", "lo", "hi").applyInPandas(cell, "a long, b long")
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        source = iter(batches)
+        while True:
+            batch = next(source, None)
+            if batch is not None:
+                held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if held is not None and len(held):
+                at = held[["key", "lo", "hi"]].to_numpy()
+                start = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]).any(axis=1)]))
+                ends = np.append(start[1:], len(held)) if batch is None else start[1:]
+                columns = [held[c].to_numpy() for c in ("own", "node", "comp", "n", "sketch", "keys")]
+                a, b = [], []
+                for i, j in zip(start.tolist(), ends.tolist()):
+                    if j - i > 1:
+                        x, y = cell(*at[i].tolist(), *(c[i:j] for c in columns))
+                        a, b = a + x, b + y
+                held = None if batch is None else held.iloc[start[-1] :].reset_index(drop=True)
+                if a:
+                    yield pd.DataFrame({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
+            if batch is None:
+                return
+
+    return cells.mapInPandas(work, "a long, b long")
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
@@ -273,9 +329,13 @@ def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     of equal text, or equal doc_id, are one class; rows with null doc_id are left out; other columns are ignored.
     """
     spark = docs.sparkSession
-    marked = materialize(sketches(docs, n, num), "sketches")
+    with_keys = fresh_path(spark, "keys")
+    sketches(docs, n, num).write.parquet(with_keys)
+    sent = spark.read.schema("doc_id long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>").parquet(with_keys)
+    groups = materialize(_groups(sent), "groups")
+    marked = materialize(sent.drop("keys"), "sketches")
+    discard(spark, with_keys)
     reps = materialize(marked.filter("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")), "classes")
-    groups = materialize(_groups(marked), "groups")
 
     named = reps.select("k1", "rep", "n_shingles", "sketch")
     edge = groups.select("leader", "member").distinct()
@@ -294,26 +354,24 @@ def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"rep": batch["doc_id"], "s": [shingles(t, n).tobytes() for t in batch["text"].tolist()]})
 
-    sets = materialize(texts.mapInPandas(hashes, "rep long, s binary").dropDuplicates(["rep"]), "sets")
+    sets = materialize(texts.mapInPandas(hashes, "rep long, s binary"), "sets")
 
-    links = materialize(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, num), "links")
-    comps = components(links)
+    links, comps = _linked(near, None, sets, num)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """The pairs whose ends are not yet in one component."""
-        ca, cb = comps.selectExpr("node as a", "label as la"), comps.selectExpr("node as b", "label as lb")
-        return pairs.join(ca, "a", "left").join(cb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")
+    members = materialize(inner.select("key", F.col("member").alias("k1")).join(named.select("k1", "rep", "n_shingles"), "k1").join(comps.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("key", "rep as node", "coalesce(label, rep) as comp", "n_shingles as n"), "members")
+    # Keys with the same members say the same; the smallest stands for them.
+    mixed = members.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_m"), F.expr("bit_xor(xxhash64(node))").alias("_x"), F.expr("bit_xor(xxhash64(node, 1))").alias("_y")).filter("_lo < _hi")
+    rows = materialize(members.join(mixed.groupBy("_m", "_x", "_y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "members")
+    lists = rows.groupBy("node").agg(F.collect_list("key").alias("keys"))
 
-    more = materialize(_verified(materialize(apart(near), "pairs"), sets, num), "links")
-    links = links.unionByName(more)
-    comps = components(links)
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"node": batch["node"], "keys": [np.sort(x).astype(np.int64).tobytes() for x in batch["keys"]]})
 
-    members = inner.select("key", F.col("member").alias("k1")).join(named, "k1").join(comps.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("key", "rep as node", "coalesce(label, rep) as comp", "n_shingles as n", "sketch")
-    mixed = members.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo < _hi").select("key")
-    rest = materialize(_across(materialize(members.join(mixed, "key", "left_semi"), "members"), num).distinct(), "pairs")
-    last = materialize(_verified(rest, sets, num), "links")
-    links = links.unionByName(last)
-    comps = materialize(components(links), "components")
+    lists = lists.mapInPandas(pack, "node long, keys binary")
+    nodes = materialize(lists.join(named.select(F.col("rep").alias("node"), "sketch"), "node"), "nodes")
+    rest = materialize(_across(rows, nodes, num).distinct(), "pairs")
+    links, comps = _linked(rest, links, sets, num)
 
     named = materialize(reps.join(comps, F.col("rep") == F.col("node"), "left").selectExpr("k1 as c1", "k2 as c2", "n_shingles as cn", "coalesce(label, rep) as component"), "classes")
     out = marked.select("doc_id", "n_shingles", "k1", "k2").join(named, F.expr("k1 = c1 and k2 = c2 and n_shingles = cn"), "left")
