@@ -37,13 +37,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a table in the shared folder that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more, and let Spark drop the shuffles that led to them."""
+    spark = tables[0].sparkSession
+    for t in tables:
+        where = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    spark._jvm.System.gc()  # shuffle files go when the driver finds that no plan refers to them
 
 
 def words(text: Column) -> Column:

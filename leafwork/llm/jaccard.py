@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import discard, fresh_path, materialize, table
+from leafwork.llm.common import discard, materialize, table
 
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
@@ -31,7 +31,9 @@ BROADCAST_IDS = 1_000_000
 #: Members of one group that are compared in one task.
 BLOCK = 2_048
 #: Rounds in which each document verifies one pair, before all pairs that are left.
-ROUNDS = 3
+ROUNDS = 1
+#: Links that one task unites before labels spread between tasks.
+LINKS_PER_TASK = 1_000_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -190,18 +192,53 @@ def _groups(sketched: DataFrame) -> DataFrame:
     return sent.mapInPandas(star, "key long, leader long, member long")
 
 
+def unite(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the links (a, b) and the smallest node of each one's component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        lx, ly = label[x], label[y]
+        apart = lx != ly
+        if not apart.any():
+            return nodes, nodes[label]
+        np.minimum.at(label, np.maximum(lx, ly)[apart], np.minimum(lx, ly)[apart])
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that each node of `links` (a, b) reaches. Labels spread and jump until none changes."""
-    both = materialize(links.selectExpr("a", "b").union(links.selectExpr("b", "a")).distinct(), "links")
+    """(node, label): the smallest node that each node of the stored `links` (a, b) reaches.
+
+    Tasks of at most LINKS_PER_TASK links unite what they have; labels then spread between tasks and jump until none
+    changes.
+    """
+
+    def stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(batches)
+        if held:
+            node, label = unite(*(np.concatenate([x[c].to_numpy() for x in held]) for c in ("a", "b")))
+            yield pd.DataFrame({"node": node, "label": label})
+
+    tasks = -(-links.count() // LINKS_PER_TASK)
+    dealt = links.select("a", "b")
+    dealt = dealt.repartition(tasks, "a", "b") if tasks > 1 else dealt.coalesce(1)
+    labels = materialize(dealt.mapInPandas(stars, "node long, label long"), "labels")
+    if tasks <= 1:
+        return labels
+    apart = labels.filter("node <> label")
+    both = materialize(apart.selectExpr("node as a", "label as b").union(apart.selectExpr("label as a", "node as b")).distinct(), "links")
+    discard(labels)
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("_n")).agg(F.min("label").alias("_near"))
         spread = labels.join(near, F.col("node") == F.col("_n"), "left").selectExpr("node", "label as old", "least(label, _near) as label")
         jump = labels.selectExpr("node as _j", "label as _to")
         after = materialize(spread.join(jump, F.col("label") == F.col("_j"), "left").selectExpr("node", "old", "least(label, _to) as label"), "labels")
-        moved = after.filter("old <> label").limit(1).count()
-        labels = after.select("node", "label")
-        if not moved:
+        discard(labels)
+        labels = after
+        if after.filter("old <> label").isEmpty():
+            discard(both)
             return labels
 
 
@@ -218,7 +255,7 @@ def _close(pairs: DataFrame, num: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
-    """Those of stored `pairs` (a, b) that link, from the sets themselves; only sets of these pairs are moved."""
+    """Those of stored `pairs` (a, b) that link, from the sets themselves, stored; only sets of these pairs are moved."""
     ids = materialize(pairs.selectExpr("a as rep").union(pairs.select("b")).distinct(), "ids")
     sets = sets.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_semi")
     full = pairs.join(sets.selectExpr("rep as a", "s as sa"), "a").join(sets.selectExpr("rep as b", "s as sb"), "b").select("a", "b", "sa", "sb")
@@ -232,28 +269,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
                 ok.append(100 * both >= num * (len(x) + len(y) - both))
             yield batch.loc[ok, ["a", "b"]]
 
-    return full.mapInPandas(keep, "a long, b long")
+    found = materialize(full.mapInPandas(keep, "a long, b long"), "links")
+    discard(ids)
+    return found
 
 
-def _linked(pairs: DataFrame, links: DataFrame | None, sets: DataFrame, num: int, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """All links so far that hold components together, with those of `pairs` (a, b), and the components.
+def _linked(pairs: DataFrame, comps: DataFrame | None, sets: DataFrame, num: int, rounds: int = ROUNDS) -> DataFrame:
+    """The components, stored, that `comps` (node, label) and those of the stored `pairs` (a, b) that link make.
 
     A round verifies for each node its first pair left, then drops the pairs whose ends have met; the last takes all.
     """
-    comps = components(links) if links is not None else None
     for k in range(rounds + 1):
+        left = pairs
         if comps is not None:
             ca, cb = comps.selectExpr("node as a", "label as la"), comps.selectExpr("node as b", "label as lb")
-            pairs = materialize(pairs.join(ca, "a", "left").join(cb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"), "pairs")
-        some = pairs
+            left = materialize(pairs.join(ca, "a", "left").join(cb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"), "pairs")
+            discard(pairs)
+        if left.isEmpty():
+            discard(left)
+            break
+        some, pairs = left, left
         if k < rounds:
             order = "min(a)" if k % 2 == 0 else "max(a)"
-            some = materialize(pairs.groupBy("b").agg(F.expr(order).alias("a")).select("a", "b"), "pairs")
-            pairs = pairs.join(some, ["a", "b"], "left_anti")
-        found = materialize(_verified(some, sets, num), "links")
-        links = found if links is None else links.unionByName(found)
-        comps = materialize(components(links), "components")
-    return links, comps
+            some = materialize(left.groupBy("b").agg(F.expr(order).alias("a")).select("a", "b"), "pairs")
+            pairs = materialize(left.join(some, ["a", "b"], "left_anti"), "pairs")
+            discard(left)
+        found = _verified(some, sets, num)
+        before = comps
+        # A component is held together as well by the links of its nodes to its label.
+        comps = components(found if before is None else found.union(before.filter("node <> label").selectExpr("label as a", "node as b")))
+        discard(some, found, *([before] if before is not None else []))
+    return comps if comps is not None else materialize(sets.selectExpr("rep as node", "rep as label").limit(0), "labels")
 
 
 def _across(groups: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
@@ -328,13 +374,10 @@ def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     component_id is the smallest doc_id that links reach. Null and empty texts have no shingles and stay alone; rows
     of equal text, or equal doc_id, are one class; rows with null doc_id are left out; other columns are ignored.
     """
-    spark = docs.sparkSession
-    with_keys = fresh_path(spark, "keys")
-    sketches(docs, n, num).write.parquet(with_keys)
-    sent = spark.read.schema("doc_id long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>").parquet(with_keys)
+    sent = materialize(sketches(docs, n, num), "keys")
     groups = materialize(_groups(sent), "groups")
     marked = materialize(sent.drop("keys"), "sketches")
-    discard(spark, with_keys)
+    discard(sent)
     reps = materialize(marked.filter("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")), "classes")
 
     named = reps.select("k1", "rep", "n_shingles", "sketch")
@@ -356,12 +399,15 @@ def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
 
     sets = materialize(texts.mapInPandas(hashes, "rep long, s binary"), "sets")
 
-    links, comps = _linked(near, None, sets, num)
+    discard(ids)
+    comps = _linked(near, None, sets, num)
 
     members = materialize(inner.select("key", F.col("member").alias("k1")).join(named.select("k1", "rep", "n_shingles"), "k1").join(comps.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("key", "rep as node", "coalesce(label, rep) as comp", "n_shingles as n"), "members")
     # Keys with the same members say the same; the smallest stands for them.
     mixed = members.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_m"), F.expr("bit_xor(xxhash64(node))").alias("_x"), F.expr("bit_xor(xxhash64(node, 1))").alias("_y")).filter("_lo < _hi")
+    discard(groups)
     rows = materialize(members.join(mixed.groupBy("_m", "_x", "_y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "members")
+    discard(members)
     lists = rows.groupBy("node").agg(F.collect_list("key").alias("keys"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -371,9 +417,12 @@ def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     lists = lists.mapInPandas(pack, "node long, keys binary")
     nodes = materialize(lists.join(named.select(F.col("rep").alias("node"), "sketch"), "node"), "nodes")
     rest = materialize(_across(rows, nodes, num).distinct(), "pairs")
-    links, comps = _linked(rest, links, sets, num)
+    discard(rows, nodes)
+    comps = _linked(rest, comps, sets, num)
+    discard(sets)
 
     named = materialize(reps.join(comps, F.col("rep") == F.col("node"), "left").selectExpr("k1 as c1", "k2 as c2", "n_shingles as cn", "coalesce(label, rep) as component"), "classes")
+    discard(reps, comps)
     out = marked.select("doc_id", "n_shingles", "k1", "k2").join(named, F.expr("k1 = c1 and k2 = c2 and n_shingles = cn"), "left")
     return out.selectExpr("doc_id", "n_shingles", "coalesce(component, doc_id) as component_id")
 

@@ -154,3 +154,13 @@ def test_warc_round_trip(spark):
     parts = chunks.filter("page_id = 7").orderBy("chunk").collect()
     assert len(parts) == 5 and b"".join(bytes(x.data) for x in parts).decode() == big and max(x.size for x in parts) == warc.CHUNK
     assert warc.payloads(warc.read_chunks(warc.archive(spark, pages.limit(0)))).count() == 0
+
+
+@pytest.mark.parametrize("per_task", [4, 1_000])
+def test_components(spark, per_task, monkeypatch):
+    monkeypatch.setattr(jaccard, "LINKS_PER_TASK", per_task)
+    links = [(i, i + 1) for i in range(9)] + [(20, 25), (21, 25), (30, 31), (30, 31)]
+    got = jaccard.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.label for r in got} == {**dict.fromkeys(range(10), 0), 20: 20, 25: 20, 21: 20, 30: 30, 31: 30}
+    assert len(got) == 15
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
