@@ -9,7 +9,7 @@ order, so some shared chunk is among those that both send. Chunks of many shingl
 Sets that meet are compared with a member of the group first. A pair is dropped if the Hamming distance of the sets' bit
 sketches, which never exceeds their symmetric difference, is above what a link allows; all other pairs are verified on
 the sets themselves. Members of one component need no further comparison, so large groups of near copies cost a pair
-per member, while different components that meet in a group are compared with each other before the end.
+per member, while different components that meet in a group are compared with each other before the end: their nearest sets first.
 """
 
 from __future__ import annotations
@@ -274,14 +274,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     return found
 
 
-def _linked(pairs: DataFrame, comps: DataFrame | None, sets: DataFrame, num: int, rounds: int = ROUNDS) -> DataFrame:
+def _linked(pairs: DataFrame, comps: DataFrame | None, sets: DataFrame, num: int, rounds: int = ROUNDS, apart: bool = False) -> DataFrame:
     """The components, stored, that `comps` (node, label) and those of the stored `pairs` (a, b) that link make.
 
-    A round verifies for each node its first pair left, then drops the pairs whose ends have met; the last takes all.
+    A round verifies for each node its first pair left, then drops the pairs whose ends have met; the last takes all. With `apart` no pair's
+    ends have met before.
     """
     for k in range(rounds + 1):
         left = pairs
-        if comps is not None:
+        if comps is not None and not (apart and k == 0):
             ca, cb = comps.selectExpr("node as a", "label as la"), comps.selectExpr("node as b", "label as lb")
             left = materialize(pairs.join(ca, "a", "left").join(cb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"), "pairs")
             discard(pairs)
@@ -302,30 +303,24 @@ def _linked(pairs: DataFrame, comps: DataFrame | None, sets: DataFrame, num: int
     return comps if comps is not None else materialize(sets.selectExpr("rep as node", "rep as label").limit(0), "labels")
 
 
-def _across(groups: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
-    """Pairs (a, b) of sets of one group (key, node, comp, n) in different components that may link; `nodes` has by node
-    its sketch and keys.
+def _across(groups: DataFrame, sketched: DataFrame, num: int, nearest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of sets of one group (key, node, comp, n) in different components that may link; `sketched`
+    has by node its sketch.
 
-    A group meets in cells of two blocks. A cell yields the pairs that sizes and bit sketches allow, and each pair only
-    in the smallest key that both have, so what comes out is about as many pairs as there are links.
+    A group meets in cells of two blocks. A cell yields the pairs that sizes and bit sketches allow, or with `nearest`
+    one of least Hamming distance for each two components.
     """
     parts = max(1, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sizes = groups.groupBy("key").agg(F.count("*").alias("_m"))
     rows = groups.join(sizes.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).withColumn("_blocks", F.expr(f"cast((_m + {BLOCK - 1}) div {BLOCK} as int)"))
     rows = rows.withColumn("_own", F.expr("cast(pmod(xxhash64(node), _blocks) as int)")).withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
     rows = rows.selectExpr("key", "least(_own, _other) as lo", "greatest(_own, _other) as hi", "_own as own", "node", "comp", "n")
-    cells = rows.join(nodes, "node").repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
+    cells = rows.join(sketched, "node").repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
 
-    def cell(key: int, lo: int, hi: int, own, node, comp, n, sketch, keys) -> tuple[list[int], list[int]]:
+    def cell(lo: int, hi: int, own, node, comp, n, sketch) -> tuple[list[int], list[int]]:
         size = min(map(len, sketch))
         bits = np.stack([_fold(np.frombuffer(x, np.uint8), size) for x in sketch])
-        many = [x[: np.searchsorted(x, key)] for x in (np.frombuffer(x, np.int64) for x in keys)]
-        seen, place, often = np.unique(np.concatenate(many), return_inverse=True, return_counts=True)
-        column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[place]
-        earlier = np.zeros((len(node), int((often > 1).sum())), bool)  # smaller keys that at least two members have
-        owner = np.repeat(np.arange(len(node)), [len(x) for x in many])
-        earlier[owner[column >= 0], column[column >= 0]] = True
-        earlier = np.packbits(earlier, axis=1)
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         a, b = [], []
         for k in range(len(node)):
             if lo == hi:
@@ -333,13 +328,24 @@ def _across(groups: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
             else:
                 rest = np.flatnonzero(own == hi) if own[k] == lo else np.empty(0, np.int64)
             rest = rest[(comp[rest] != comp[k]) & (100 * np.minimum(n[rest], n[k]) >= num * np.maximum(n[rest], n[k]))]
-            if len(rest):
-                far = np.bitwise_count(bits[rest] ^ bits[k]).sum(axis=1, dtype=np.int64)
-                rest = rest[far <= (n[rest] + n[k]) * (100 - num) // (100 + num)]
-            if len(rest):
-                rest = rest[~(earlier[rest] & earlier[k]).any(axis=1)]
+            if not len(rest):
+                continue
+            far = np.bitwise_count(bits[rest] ^ bits[k]).sum(axis=1, dtype=np.int64)
+            near = far <= (n[rest] + n[k]) * (100 - num) // (100 + num)
+            rest, far = rest[near], far[near]
+            if not nearest:
                 a += [node[k]] * len(rest)
                 b += node[rest].tolist()
+                continue
+            order = np.argsort(far, kind="stable")
+            _, first = np.unique(comp[rest[order]], return_index=True)
+            for i in order[first].tolist():
+                two = (min(comp[k], comp[rest[i]]), max(comp[k], comp[rest[i]]))
+                if two not in best or far[i] < best[two][0]:
+                    best[two] = (far[i], node[k], node[rest[i]])
+        for _, x, y in best.values():
+            a.append(x)
+            b.append(y)
         return a, b
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -353,11 +359,11 @@ def _across(groups: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
                 at = held[["key", "lo", "hi"]].to_numpy()
                 start = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]).any(axis=1)]))
                 ends = np.append(start[1:], len(held)) if batch is None else start[1:]
-                columns = [held[c].to_numpy() for c in ("own", "node", "comp", "n", "sketch", "keys")]
+                columns = [held[c].to_numpy() for c in ("own", "node", "comp", "n", "sketch")]
                 a, b = [], []
                 for i, j in zip(start.tolist(), ends.tolist()):
                     if j - i > 1:
-                        x, y = cell(*at[i].tolist(), *(c[i:j] for c in columns))
+                        x, y = cell(*at[i, 1:].tolist(), *(c[i:j] for c in columns))
                         a, b = a + x, b + y
                 held = None if batch is None else held.iloc[start[-1] :].reset_index(drop=True)
                 if a:
@@ -365,7 +371,7 @@ def _across(groups: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
             if batch is None:
                 return
 
-    return cells.mapInPandas(work, "a long, b long")
+    return cells.mapInPandas(work, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
@@ -402,23 +408,19 @@ def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     discard(ids)
     comps = _linked(near, None, sets, num)
 
-    members = materialize(inner.select("key", F.col("member").alias("k1")).join(named.select("k1", "rep", "n_shingles"), "k1").join(comps.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("key", "rep as node", "coalesce(label, rep) as comp", "n_shingles as n"), "members")
-    # Keys with the same members say the same; the smallest stands for them.
-    mixed = members.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_m"), F.expr("bit_xor(xxhash64(node))").alias("_x"), F.expr("bit_xor(xxhash64(node, 1))").alias("_y")).filter("_lo < _hi")
+    # First the nearest sets of each two components that meet, as most links between them hold; then all that are left.
+    rows = materialize(inner.select("key", F.col("member").alias("k1")).join(named.select("k1", "rep", "n_shingles"), "k1").selectExpr("key", "rep as node", "n_shingles as n"), "members")
     discard(groups)
-    rows = materialize(members.join(mixed.groupBy("_m", "_x", "_y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "members")
-    discard(members)
-    lists = rows.groupBy("node").agg(F.collect_list("key").alias("keys"))
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"node": batch["node"], "keys": [np.sort(x).astype(np.int64).tobytes() for x in batch["keys"]]})
-
-    lists = lists.mapInPandas(pack, "node long, keys binary")
-    nodes = materialize(lists.join(named.select(F.col("rep").alias("node"), "sketch"), "node"), "nodes")
-    rest = materialize(_across(rows, nodes, num).distinct(), "pairs")
-    discard(rows, nodes)
-    comps = _linked(rest, comps, sets, num)
+    sketched = named.select(F.col("rep").alias("node"), "sketch")
+    for nearest in (True, False):
+        members = materialize(rows.select("key", "node", "n").join(comps.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").selectExpr("key", "node", "coalesce(label, node) as comp", "n"), "members")
+        # Keys with the same members say the same; the smallest stands for them.
+        mixed = members.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_m"), F.expr("bit_xor(xxhash64(node))").alias("_x"), F.expr("bit_xor(xxhash64(node, 1))").alias("_y")).filter("_lo < _hi")
+        some = materialize(members.join(mixed.groupBy("_m", "_x", "_y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "members")
+        discard(rows, members)
+        rows = some
+        comps = _linked(materialize(_across(rows, sketched, num, nearest), "pairs"), comps, sets, num, apart=True)
+    discard(rows)
     discard(sets)
 
     named = materialize(reps.join(comps, F.col("rep") == F.col("node"), "left").selectExpr("k1 as c1", "k2 as c2", "n_shingles as cn", "coalesce(label, rep) as component"), "classes")
