@@ -2,6 +2,7 @@
 
 from leafwork.llm.jaccard import op8_jaccard
 from leafwork.llm.language import op6_language
+from leafwork.llm.licenses import op5_licenses
 from leafwork.llm.mixing import OP7_SQL, op7_mixing
 from leafwork.llm.packing import op1_pack
 from leafwork.llm.quality import OP3_SQL, op3_quality
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
     "op4_topk": op4_topk,
+    "op5_licenses": op5_licenses,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op8_jaccard": op8_jaccard,
