@@ -29,8 +29,8 @@ def _base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def record_id(page_id: int, row: int = 0) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id}/{row}')}>"
+def record_id(page_id: int | None, digest: str, row: str = "") -> str:
+    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id}/{digest}/{row}')}>"
 
 
 def _filesystem(uri: str):
@@ -61,28 +61,37 @@ def digests(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), F.length(payload).cast("long").alias("payload_bytes"), hexed.alias("_hex"), F.array_join(digits, "").alias("payload_digest"))
 
 
-def plan(pages: DataFrame, least: int = 0) -> DataFrame:
-    """`digests` with record_type and refers_to: of equal payloads of at least `least` bytes the smallest page_id is the
-    response and the others revisit it. Repeated page_ids are one response and revisits of it. Null page_ids sort last.
+def _decided(rows: DataFrame, least: int) -> DataFrame:
+    """`rows` (page_id, payload_bytes, _hex and more) with record_type, refers_to and _sole: whether the response that
+    the row is, or revisits, is the only one of its page_id and payload. Every row is decided by its own payload.
 
     Equal payloads meet as partial minima, so a frequent payload is no large group.
     """
-    d = digests(pages).drop("payload_digest")
-    first = d.groupBy("_hex", "payload_bytes").agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    both = d.join(first.withColumnRenamed("_hex", "_h").withColumnRenamed("payload_bytes", "_b"), F.expr("_hex = _h and payload_bytes = _b"), "left")
+    by_page = rows.groupBy("_hex", "payload_bytes", "page_id").agg(F.count("*").alias("_n"))
+    first = by_page.groupBy(F.col("_hex").alias("_h"), F.col("payload_bytes").alias("_b")).agg(F.min("page_id").alias("_first"), F.min_by("_n", "page_id").alias("_same"), F.sum("_n").alias("_all")).filter("_all > 1")
+    both = rows.join(first, F.expr("_hex = _h and payload_bytes = _b"), "left")
     revisit = F.expr(f"_first is not null and payload_bytes >= {least} and not (page_id <=> _first)")
-    return both.select("page_id", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"))
+    sole = F.expr("_h is null or _same = 1") & (revisit | F.expr("_h is null or page_id <=> _first"))
+    return both.select(*rows.columns, F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"), F.coalesce(sole, F.lit(False)).alias("_sole"))
+
+
+def plan(pages: DataFrame, least: int = 0) -> DataFrame:
+    """page_id, record_type and refers_to of each row: of equal payloads of at least `least` bytes the rows with the
+    smallest page_id are responses and the others revisit it. Null page_ids sort last; payloads that only they have are
+    responses.
+    """
+    return _decided(digests(pages).drop("payload_digest"), least).select("page_id", "record_type", "refers_to")
 
 
 # ---------------------------------------------------------------- write
 
 
-def _header(kind: str, page_id, url: str, digest: str, length: int, size: int, refers, date: str) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-ID: {'' if page_id is None else page_id}", f"X-Payload-Length: {size}"]
+def _header(kind: str, own_id: str, page_id, url: str, digest: str, length: int, size: int, refers, refers_id: str | None, date: str) -> bytes:
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {own_id}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-ID: {'' if page_id is None else page_id}", f"X-Payload-Length: {size}"]
     if url:
         lines.append("WARC-Target-URI: " + "".join(c for c in url if c not in "\r\n"))
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers)}", f"X-Refers-To-Page: {refers}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", *([f"WARC-Refers-To: {refers_id}"] if refers_id else []), f"X-Refers-To-Page: {refers}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {length}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
@@ -90,12 +99,16 @@ def _header(kind: str, page_id, url: str, digest: str, length: int, size: int, r
 def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 1) -> DataFrame:
     """Write a record per row of `pages` (page_id, url, html) to archives in `folder`; rows (file, records, size).
 
+    Record ids differ. A revisit names its response by page_id and payload digest, and by record id if just one response
+    has both.
+
     The result must be evaluated once for the archives to exist; the names of files that no finished task reported are
     not in it, so a task's second attempt never shows records twice.
     """
-    decided = plan(pages, least).groupBy("page_id").agg(F.min("refers_to").alias("refers_to"), F.count("*").alias("_copies")).withColumnRenamed("page_id", "_page")
     url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
-    rows = pages.select(F.col("page_id").cast("long"), url.cast("string").alias("url"), F.col("html").cast("string")).join(decided, F.expr("page_id <=> _page"), "left").select("page_id", "url", "html", "refers_to")
+    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    keyed = pages.select(F.col("page_id").cast("long"), url.cast("string").alias("url"), F.col("html").cast("string"), F.length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("_hex"))
+    rows = _decided(keyed, least).select("page_id", "url", "html", "refers_to", "_sole")
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, root = _filesystem(folder)
@@ -103,7 +116,7 @@ def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01
         name = f"part-{uuid.uuid4().hex}.warc.gz"
         out, records = None, 0
         for batch in batches:
-            for page_id, address, html, refers in zip(batch["page_id"].tolist(), batch["url"].tolist(), batch["html"].tolist(), batch["refers_to"].tolist()):
+            for page_id, address, html, refers, sole in zip(*(batch[c].tolist() for c in ("page_id", "url", "html", "refers_to", "_sole"))):
                 page_id = None if pd.isna(page_id) else int(page_id)
                 payload = (html or "").encode()
                 sha = hashlib.sha1()
@@ -112,8 +125,11 @@ def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01
                 out = out or files.open_output_stream(f"{root}/{name}.tmp", compression=None)
                 gz = zlib.compressobj(level, zlib.DEFLATED, 31)
                 kind = "response" if refers is None or pd.isna(refers) else "revisit"
+                refers, digest = None if kind == "response" else int(refers), _base32(sha.digest())
+                own_id = record_id(page_id, digest, "" if sole and kind == "response" else f"{name}/{records}")
+                refers_id = record_id(refers, digest) if sole and kind == "revisit" else None
                 block = [_HTTP, *(_chunks(payload) if kind == "response" else ())]
-                out.write(gz.compress(_header(kind, page_id, address, _base32(sha.digest()), sum(map(len, block)), len(payload), None if kind == "response" else int(refers), date)))
+                out.write(gz.compress(_header(kind, own_id, page_id, address, digest, sum(map(len, block)), len(payload), refers, refers_id, date)))
                 for part in block:
                     out.write(gz.compress(part))
                 out.write(gz.compress(b"\r\n\r\n") + gz.flush())
@@ -250,16 +266,16 @@ def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
 def payloads(chunks: DataFrame) -> DataFrame:
     """A row per record: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A revisit's payload is that of the record it refers to. A response whose digest differs from the declared one has
+    A revisit's payload is that of the response of the page it refers to with the digest it declares. A response whose digest differs from the declared one has
     a null payload_digest.
     """
     last = chunks.filter("last")
-    own = last.selectExpr("page_id", "record_type", "record_id", "refers_to_id", "refers_to_page", "at + size as payload_bytes", "if(digest = declared, digest, null) as payload_digest")
-    kept = own.filter("record_type = 'response'").selectExpr("record_id as _id", "payload_bytes as _bytes", "payload_digest as _digest")
+    own = last.selectExpr("page_id", "record_type", "refers_to_page", "at + size as payload_bytes", "declared", "if(digest = declared, digest, null) as payload_digest")
+    kept = own.filter("record_type = 'response'").selectExpr("page_id as _id", "declared as _declared", "payload_digest is not null as _sound", "payload_bytes as _bytes")
     wanted = own.filter("record_type = 'revisit'")
-    # Few of the responses are referred to, by many revisits: each is fetched once.
-    asked = wanted.select("refers_to_id").distinct().join(kept, F.col("refers_to_id") == F.col("_id")).select("_id", "_bytes", "_digest").dropDuplicates(["_id"])
-    found = wanted.join(asked, F.col("refers_to_id") == F.col("_id"), "left").selectExpr("page_id", "_bytes as payload_bytes", "if(_digest = payload_digest, _digest, null) as payload_digest", "record_type", "refers_to_page as refers_to")
+    # Few of the responses are referred to, by many revisits: each is fetched once, a sound copy before a damaged one.
+    asked = wanted.select(F.col("refers_to_page").alias("_page"), F.col("declared").alias("_asked")).distinct().join(kept, F.expr("_page = _id and _asked = _declared")).groupBy("_page", "_asked").agg(F.max_by("_bytes", "_sound").alias("_bytes"), F.max("_sound").alias("_sound"))
+    found = wanted.join(asked, F.expr("refers_to_page = _page and declared = _asked"), "left").selectExpr("page_id", "_bytes as payload_bytes", "if(_sound, declared, null) as payload_digest", "record_type", "refers_to_page as refers_to")
     return own.filter("record_type = 'response'").selectExpr("page_id", "payload_bytes", "payload_digest", "record_type", "cast(null as long) as refers_to").unionByName(found)
 
 

@@ -156,6 +156,24 @@ def test_warc_round_trip(spark):
     assert warc.payloads(warc.read_chunks(warc.archive(spark, pages.limit(0)))).count() == 0
 
 
+@pytest.mark.parametrize("least", [0, 4])
+def test_warc_decides_each_row_by_its_payload(spark, least):
+    rows = [(2, "<a>"), (None, "<a>"), (None, "<only>"), (None, "<only>"), (None, "<other>"), (4, "<b>"), (4, "<c>"), (5, "<c>"), (6, "<b>"), (3, "<d1>"), (3, "<d1>"), (7, "<d1>")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    chunks = warc.read_chunks(warc.archive(spark, pages, least), with_data=True).cache()
+    first = {"<a>": 2, "<b>": 4, "<c>": 4, "<d1>": 3}
+    want = []
+    for p, h in rows:
+        refers = None if first.get(h) == p or len(h) < least else first.get(h)
+        want.append((p, len(h), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(), "response" if refers is None else "revisit", refers))
+    assert sorted(map(tuple, warc.payloads(chunks).collect()), key=str) == sorted(want, key=str)
+    records = chunks.collect()
+    kept = {r.record_id: bytes(r.data) for r in records if r.record_type == "response"}
+    assert len({r.record_id for r in records}) == len(rows) and {h.encode() for _, h in rows} == set(kept.values())
+    assert all(r.refers_to_id in kept for r in records if r.refers_to_id) and sum(r.refers_to_id is not None for r in records) == (3 if not least else 0)
+    assert sorted((r.page_id or -1, r.record_type) for r in warc.plan(pages, least).collect()) == sorted((w[0] or -1, w[3]) for w in want)
+
+
 @pytest.mark.parametrize("per_task", [4, 1_000])
 def test_components(spark, per_task, monkeypatch):
     monkeypatch.setattr(jaccard, "LINKS_PER_TASK", per_task)
