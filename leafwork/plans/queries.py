@@ -335,6 +335,17 @@ def embedding_explode(spark, sf):
     return t(spark, sf, "embeddings").select("vec_id", "label", F.posexplode(F.slice("embedding", 1, 4)).alias("pos", "v")).select("vec_id", "label", F.col("pos").cast("long").alias("pos"), F.round(F.col("v").cast("double"), 6).alias("x"))
 
 
+def components(vectors: DataFrame) -> DataFrame:
+    """Every component of every vector with its 1-based index; a null or empty vector keeps one row, with nulls."""
+    rows = nested.flatten(vectors.withColumn("embedding", F.transform("embedding", lambda v: F.struct(F.round(v.cast("double"), 6).alias("x")))), ["vec_id", "label"], "embedding")
+    return rows.withColumn("record_index", F.col("record_index").cast("long"))
+
+
+@query("select vec_id, label, i as record_index, round(cast(embedding[i] as double), 6) as x from embeddings left join lateral (select unnest(range(1, len(embedding) + 1)) as i) on true")
+def embedding_components(spark, sf):
+    return components(t(spark, sf, "embeddings"))
+
+
 @query("select c_custkey as key, c_name as name, c_mktsegment as segment, null::double as balance from customer union all by name select s_suppkey as key, s_name as name, s_acctbal as balance from supplier")
 def schema_union(spark, sf):
     a = t(spark, sf, "customer").selectExpr("c_custkey as key", "c_name as name", "c_mktsegment as segment")
