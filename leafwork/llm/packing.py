@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -179,7 +180,8 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
 def fillings(left: _Lengths, room: int, steps: int = FILL_STEPS, most: int = BRANCHES) -> list[list[int]]:
     """Undominated fillings of `room`, least waste first, then fewer and larger lengths.
 
-    The first is the best fit by largest lengths. A filling is dropped if one item of another could be swapped for
+    The first is the best fit by largest lengths. The filling at which the steps run out is completed by largest
+    lengths, so none leaves room that a length left would fit. A filling is dropped if one item of another could be swapped for
     several of its own within the same room, which is what fewer and larger lengths at no more waste mean here.
     """
     if not left.keys or left.keys[0] > room:
@@ -188,6 +190,17 @@ def fillings(left: _Lengths, room: int, steps: int = FILL_STEPS, most: int = BRA
     budget = steps
     best_waste = room
 
+    def completed(room: int, chosen: list[int]) -> tuple[int, list[int]]:
+        out, used = list(chosen), Counter(chosen)
+        at = bisect.bisect_right(left.keys, room) - 1
+        while at >= 0:
+            x = left.keys[at]
+            n = min(room // x, left.counts[x] - used[x])
+            out += [x] * n
+            room -= x * n
+            at = min(at, bisect.bisect_right(left.keys, room)) - 1
+        return room, out
+
     def go(room: int, top: int, chosen: list[int]) -> None:
         nonlocal budget, best_waste
         budget -= 1
@@ -209,6 +222,8 @@ def fillings(left: _Lengths, room: int, steps: int = FILL_STEPS, most: int = BRA
             at -= 1
             if at >= 0 and len(chosen) >= 3 and best_waste <= 1:
                 return
+        if none and budget <= 0:
+            room, chosen = completed(room, chosen)
         if none and room <= best_waste:
             best_waste = min(best_waste, room)
             found.append((room, len(chosen), chosen))
