@@ -71,7 +71,7 @@ def pattern_spans(docs: DataFrame) -> DataFrame:
     """`docs` with the arrays _assign, _access and _hex of (start, end, value), and _runs for the models to judge.
 
     start and end are code points of the text, end exclusive; a null text has no spans. _runs are runs of key characters
-    that touch no base span.
+    outside of base spans: a run that base spans cut counts as its pieces of 20 characters or more.
     """
     df = docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     df = _with_spans(df, "_text", ASSIGN, 2, 8, "_assign")
@@ -79,7 +79,11 @@ def pattern_spans(docs: DataFrame) -> DataFrame:
     df = _with_spans(df, "_text", HEX, 0, 32, "_hex")
     df = _with_spans(df, "_text", CANDIDATE, 0, 20, "_runs")
     base = "concat(_assign, _access, _hex)"
-    return df.withColumn("_runs", F.expr(f"filter(_runs, r -> not exists({base}, b -> b.start < r.end and r.start < b.end))")).drop("_text")
+    starts = "filter(array_distinct(concat(array(r.start), transform(t, b -> b.end))), s -> s < r.end and not exists(t, b -> b.start <= s and s < b.end))"
+    end = "coalesce(array_min(transform(filter(t, b -> b.start > s), b -> b.start)), r.end)"
+    pieces = f"transform({starts}, s -> named_struct('start', s, 'end', {end}, 'value', substring(r.value, cast(s - r.start as int) + 1, cast({end} - s as int))))"
+    cut = f"transform(_runs, r -> element_at(transform(array(filter({base}, b -> b.start < r.end and r.start < b.end)), t -> if(size(t) = 0, array(r), {pieces})), 1))"
+    return df.withColumn("_runs", F.expr(f"filter(flatten({cut}), r -> char_length(r.value) >= 20)")).drop("_text")
 
 
 def _pairs(strings: DataFrame, column: str) -> DataFrame:
