@@ -1,7 +1,7 @@
 """WARC archives through a chunked record table.
 
-Reading and writing never hold a whole record: a payload is a stream of rows (record, chunk number), each with the
-digest of everything up to it. Archives are WARC/1.1 files of one gzip member a record, written under a temporary name
+Reading never holds a whole record: a payload is a stream of rows (record, chunk number), each with the digest of
+everything up to it. Writing holds a batch of pages, and one payload whole at a time. Archives are WARC/1.1 files of one gzip member a record, written under a temporary name
 and renamed when complete, so a task that runs again leaves one whole file.
 """
 
