@@ -6,10 +6,11 @@ that link differ in at most d chunks, where d follows from the band and the thre
 greatest in the order (number of shingles, value) are joined on: chunks that two sets share have the same place in that
 order, so some shared chunk is among those that both send. Chunks of many shingles are rarely shared by chance.
 
-Sets that meet are compared with a member of the group first. A pair is dropped if the Hamming distance of the sets' bit
-sketches, which never exceeds their symmetric difference, is above what a link allows; all other pairs are verified on
-the sets themselves. Members of one component need no further comparison, so large groups of near copies cost a pair
-per member, while different components that meet in a group are compared with each other before the end: their nearest sets first.
+Groups of sets that sent the same chunk are compared in cells, which hold their members and keep a union-find: two sets
+of one component are never compared again, and a cell gives at most one link for each component that it joins, however
+many pairs it sees. First, on bit sketches alone, whose Hamming distance never exceeds the symmetric difference: sets that
+may link make candidate clusters. Then, on the sets themselves, within each cluster. A cluster beyond one cell is dealt to
+cells of bounded size that share its hubs; what is then still apart meets the rest of the cluster, block by block.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafwork.llm.common import discard, materialize, table
@@ -26,12 +27,14 @@ from leafwork.llm.common import discard, materialize, table
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
 CACHE_WORDS = 500_000
-#: Candidate documents up to which their ids are broadcast to fetch texts; beyond it, a join.
+#: Rows up to which a table of ids is broadcast to documents; beyond it, a join.
 BROADCAST_IDS = 1_000_000
-#: Members of one group that are compared in one task.
-BLOCK = 2_048
-#: Rounds in which each document verifies one pair, before all pairs that are left.
-ROUNDS = 1
+#: Sets of one block, and shingles of one block where the sets themselves are compared; a cell holds two blocks.
+BLOCK, BLOCK_SHINGLES = 2_048, 4_000_000
+#: Sets with the most candidates that every block of a large cluster holds.
+HUBS = 32
+#: Members of one group that a task holds before it passes them on as they come.
+HELD = 500_000
 #: Links that one task unites before labels spread between tasks.
 LINKS_PER_TASK = 1_000_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -125,14 +128,8 @@ def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
     return sketch
 
 
-def hamming(a: bytes, b: bytes) -> int:
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    size = min(len(x), len(y))
-    return int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum())
-
-
 def sketches(docs: DataFrame, n: int, num: int) -> DataFrame:
-    """doc_id, n_shingles, k1 and k2 (the set's identity), sketch, and keys: the chunks it sends.
+    """doc_id, h (the text's hash), n_shingles, k1 and k2 (the set's identity), sketch, and keys: the chunks it sends.
 
     Within a task only the first of equal sets has keys.
     """
@@ -141,28 +138,42 @@ def sketches(docs: DataFrame, n: int, num: int) -> DataFrame:
         bands, seen = Bands(num), set()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
+            for doc_id, h, text in zip(batch["doc_id"].tolist(), batch["h"].tolist(), batch["text"].tolist()):
                 s = shingles(text, n)
-                with np.errstate(over="ignore"):
-                    k1, k2 = (int(x) for x in (s.sum(dtype=np.uint64), mix(s ^ _K[0]).sum(dtype=np.uint64))) if len(s) else (0, 0)
+                k1, k2 = identity(s)
                 first = len(s) > 0 and (k1, k2) not in seen
                 if first and len(seen) < 1_000_000:
                     seen.add((k1, k2))
                 keys = chunk_keys(s, bands).view(np.int64) if first else np.empty(0, np.int64)
-                rows.append((doc_id, len(s), k1 - (k1 >> 63 << 64), k2 - (k2 >> 63 << 64), bit_sketch(s) if len(s) else b"", keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "k1", "k2", "sketch", "keys"])
+                rows.append((doc_id, h, len(s), k1, k2, bit_sketch(s) if len(s) else b"", keys))
+            yield pd.DataFrame(rows, columns=["doc_id", "h", "n_shingles", "k1", "k2", "sketch", "keys"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), text_hash().alias("h"), F.col("text").cast("string")).filter("doc_id is not null")
+    return rows.mapInPandas(make, "doc_id long, h long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null")
-    return rows.mapInPandas(make, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>")
+
+def identity(s: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit sums over a set; 0 for the empty set."""
+    if not len(s):
+        return 0, 0
+    with np.errstate(over="ignore"):
+        sums = np.array([s.sum(dtype=np.uint64), mix(s ^ _K[0]).sum(dtype=np.uint64)])
+    return tuple(sums.view(np.int64).tolist())
 
 
 def _groups(sketched: DataFrame) -> DataFrame:
-    """(key, leader, member) of each group of at least two sets that sent the same chunk; key is null in pairs."""
+    """Distinct (g, m, node): the m >= 2 sets that sent the same chunk. g is a hash of the members, so that chunks with the same members
+    make one group; of groups with more than HELD members, it is a hash of the chunk, and m is as if endless."""
     parts = max(1, int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sent = sketched.filter("size(keys) > 0").select(F.explode("keys").alias("key"), "k1").repartition(parts, "key").sortWithinPartitions("key", "k1")
 
     def star(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, own = np.empty(0, np.int64), np.empty(0, np.int64)
+        endless = None  # the key whose members are passed on as they come
         done = False
         source = iter(batches)
         while not done:
@@ -172,7 +183,16 @@ def _groups(sketched: DataFrame) -> DataFrame:
                 key, own = np.concatenate([key, batch["key"].to_numpy()]), np.concatenate([own, batch["k1"].to_numpy()])
             if not len(key):
                 continue
-            end = len(key) if done else np.searchsorted(key, key[-1])
+            if endless is not None or key[0] == key[-1] and len(key) > HELD:
+                endless = key[0] if endless is None else endless
+                stop = np.searchsorted(key, endless, side="right")
+                if stop:
+                    node = np.unique(own[:stop])
+                    yield pd.DataFrame({"g": np.full(len(node), mix(np.array([endless]).view(np.uint64)).view(np.int64)[0]), "m": np.full(len(node), 2**62), "node": node})
+                    key, own = key[stop:], own[stop:]
+                if len(key):
+                    endless = None
+            end = len(key) if done else np.searchsorted(key, key[-1]) if len(key) else 0
             k, o = key[:end], own[:end]
             key, own = key[end:], own[end:]
             if not len(k):
@@ -182,14 +202,16 @@ def _groups(sketched: DataFrame) -> DataFrame:
             k, o = k[new], o[new]
             start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             size = np.diff(np.append(start, len(k)))
-            leader, count = np.repeat(o[start], size), np.repeat(size, size)
-            keep = o != leader
-            if keep.any():
-                shown = pd.array(k[keep], dtype="Int64")
-                shown[count[keep] == 2] = pd.NA
-                yield pd.DataFrame({"key": shown, "leader": leader[keep], "member": o[keep]})
+            with np.errstate(over="ignore"):
+                g = mix(np.add.reduceat(mix(o.view(np.uint64) ^ _K[1]), start) + size.astype(np.uint64)).view(np.int64)
+            _, first = np.unique(g, return_index=True)
+            some = np.zeros(len(g), bool)
+            some[first] = True
+            some = np.repeat(some & (size > 1), size)
+            if some.any():
+                yield pd.DataFrame({"g": np.repeat(g, size)[some], "m": np.repeat(size, size)[some].astype(np.int64), "node": o[some]})
 
-    return sent.mapInPandas(star, "key long, leader long, member long")
+    return sent.mapInPandas(star, "g long, m long, node long").distinct()
 
 
 def unite(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,111 +264,58 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _close(pairs: DataFrame, num: int) -> DataFrame:
-    """Pairs (a, b, na, nb, sa, sb) whose sizes and bit sketches allow a link."""
-    bands = Bands(num)
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ok = [hamming(x, y) <= bands.difference(m, n) for x, y, m, n in zip(batch["sa"].tolist(), batch["sb"].tolist(), batch["na"].tolist(), batch["nb"].tolist())]
-            yield batch.loc[ok, ["a", "b"]]
-
-    return pairs.filter(f"100 * least(na, nb) >= {num} * greatest(na, nb)").mapInPandas(keep, "a long, b long")
+def _cell(lo: int, hi: int, own: np.ndarray, node: np.ndarray, comp: np.ndarray, n: np.ndarray, data: list[bytes], num: int, exact: bool) -> tuple[list[int], list[int]]:
+    """Links (a, b) that join the components `comp` of the pairs of this cell that link, or without `exact` may link.
 
-
-def _verified(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
-    """Those of stored `pairs` (a, b) that link, from the sets themselves, stored; only sets of these pairs are moved."""
-    ids = materialize(pairs.selectExpr("a as rep").union(pairs.select("b")).distinct(), "ids")
-    sets = sets.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_semi")
-    full = pairs.join(sets.selectExpr("rep as a", "s as sa"), "a").join(sets.selectExpr("rep as b", "s as sb"), "b").select("a", "b", "sa", "sb")
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch["sa"].tolist(), batch["sb"].tolist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= num * (len(x) + len(y) - both))
-            yield batch.loc[ok, ["a", "b"]]
-
-    found = materialize(full.mapInPandas(keep, "a long, b long"), "links")
-    discard(ids)
-    return found
-
-
-def _linked(pairs: DataFrame, comps: DataFrame | None, sets: DataFrame, num: int, rounds: int = ROUNDS, apart: bool = False) -> DataFrame:
-    """The components, stored, that `comps` (node, label) and those of the stored `pairs` (a, b) that link make.
-
-    A round verifies for each node its first pair left, then drops the pairs whose ends have met; the last takes all. With `apart` no pair's
-    ends have met before.
+    With `exact`, data are the sets, else their bit sketches. The pairs are those of block lo with block hi.
     """
-    for k in range(rounds + 1):
-        left = pairs
-        if comps is not None and not (apart and k == 0):
-            ca, cb = comps.selectExpr("node as a", "label as la"), comps.selectExpr("node as b", "label as lb")
-            left = materialize(pairs.join(ca, "a", "left").join(cb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"), "pairs")
-            discard(pairs)
-        if left.isEmpty():
-            discard(left)
+    sets = [np.frombuffer(x, np.uint64) for x in data] if exact else []
+    sketch = [np.frombuffer(bit_sketch(x) if exact else x, np.uint8) for x in (sets if exact else data)]
+    size = min(map(len, sketch))
+    bits = np.stack([_fold(x, size) for x in sketch]).view(np.uint64)
+    codes: list[np.ndarray] = []
+    _, label = np.unique(comp, return_inverse=True)
+    left = label.max() + 1
+    a, b = [], []
+    for k in range(len(node)):
+        if left == 1:
             break
-        some, pairs = left, left
-        if k < rounds:
-            order = "min(a)" if k % 2 == 0 else "max(a)"
-            some = materialize(left.groupBy("b").agg(F.expr(order).alias("a")).select("a", "b"), "pairs")
-            pairs = materialize(left.join(some, ["a", "b"], "left_anti"), "pairs")
-            discard(left)
-        found = _verified(some, sets, num)
-        before = comps
-        # A component is held together as well by the links of its nodes to its label.
-        comps = components(found if before is None else found.union(before.filter("node <> label").selectExpr("label as a", "node as b")))
-        discard(some, found, *([before] if before is not None else []))
-    return comps if comps is not None else materialize(sets.selectExpr("rep as node", "rep as label").limit(0), "labels")
-
-
-def _across(groups: DataFrame, sketched: DataFrame, num: int, nearest: bool) -> DataFrame:
-    """Distinct pairs (a, b) of sets of one group (key, node, comp, n) in different components that may link; `sketched`
-    has by node its sketch.
-
-    A group meets in cells of two blocks. A cell yields the pairs that sizes and bit sketches allow, or with `nearest`
-    one of least Hamming distance for each two components.
-    """
-    parts = max(1, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sizes = groups.groupBy("key").agg(F.count("*").alias("_m"))
-    rows = groups.join(sizes.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).withColumn("_blocks", F.expr(f"cast((_m + {BLOCK - 1}) div {BLOCK} as int)"))
-    rows = rows.withColumn("_own", F.expr("cast(pmod(xxhash64(node), _blocks) as int)")).withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
-    rows = rows.selectExpr("key", "least(_own, _other) as lo", "greatest(_own, _other) as hi", "_own as own", "node", "comp", "n")
-    cells = rows.join(sketched, "node").repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
-
-    def cell(lo: int, hi: int, own, node, comp, n, sketch) -> tuple[list[int], list[int]]:
-        size = min(map(len, sketch))
-        bits = np.stack([_fold(np.frombuffer(x, np.uint8), size) for x in sketch])
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        a, b = [], []
-        for k in range(len(node)):
-            if lo == hi:
-                rest = np.arange(k + 1, len(node))
-            else:
-                rest = np.flatnonzero(own == hi) if own[k] == lo else np.empty(0, np.int64)
-            rest = rest[(comp[rest] != comp[k]) & (100 * np.minimum(n[rest], n[k]) >= num * np.maximum(n[rest], n[k]))]
-            if not len(rest):
-                continue
-            far = np.bitwise_count(bits[rest] ^ bits[k]).sum(axis=1, dtype=np.int64)
-            near = far <= (n[rest] + n[k]) * (100 - num) // (100 + num)
-            rest, far = rest[near], far[near]
-            if not nearest:
-                a += [node[k]] * len(rest)
-                b += node[rest].tolist()
-                continue
-            order = np.argsort(far, kind="stable")
-            _, first = np.unique(comp[rest[order]], return_index=True)
-            for i in order[first].tolist():
-                two = (min(comp[k], comp[rest[i]]), max(comp[k], comp[rest[i]]))
-                if two not in best or far[i] < best[two][0]:
-                    best[two] = (far[i], node[k], node[rest[i]])
-        for _, x, y in best.values():
-            a.append(x)
-            b.append(y)
-        return a, b
+        if lo != hi and own[k] != lo:
+            continue
+        rest = np.flatnonzero(label != label[k])
+        rest = rest[rest > k] if lo == hi else rest[own[rest] == hi]
+        rest = rest[100 * np.minimum(n[rest], n[k]) >= num * np.maximum(n[rest], n[k])]
+        if not len(rest):
+            continue
+        far = np.bitwise_count(bits[rest] ^ bits[k]).sum(axis=1, dtype=np.int64)
+        rest = rest[far <= (n[rest] + n[k]) * (100 - num) // (100 + num)]
+        if exact and len(rest):
+            if not codes:  # shingles of one set of the cell alone, and those of all, need no comparison
+                _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+                place = np.where((count > 1) & (count < len(node)), np.cumsum((count > 1) & (count < len(node))), 0)
+                codes = [x[x > 0] for x in np.split(place[code], np.cumsum([len(s) for s in sets])[:-1])]
+                common, mark = int((count == len(node)).sum()) if len(node) > 1 else 0, np.zeros(place.max() + 1, np.int64)
+            mark[codes[k]] = 1
+            sizes = np.array([len(codes[i]) for i in rest])
+            hits = np.concatenate([[0], np.cumsum(mark[np.concatenate([codes[i] for i in rest])])])
+            ends = np.cumsum(sizes)
+            both = common + hits[ends] - hits[ends - sizes]
+            mark[codes[k]] = 0
+            rest = rest[100 * both >= num * (n[rest] + n[k] - both)]
+        if not len(rest):
+            continue
+        met, first = np.unique(label[rest], return_index=True)
+        a += [int(node[k])] * len(met)
+        b += node[rest[first]].tolist()
+        label[np.isin(label, met)] = label[k]
+        left -= len(met)
+    return a, b
+
+
+def _cells(rows: DataFrame, data: DataFrame, num: int, exact: bool) -> DataFrame:
+    """The links (a, b) that the cells (g, lo, hi) of `rows` (g, lo, hi, own, node, comp) give; `data` has (node, n, data)."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cells = rows.join(data, "node").select("g", "lo", "hi", "own", "node", "comp", "n", "data").repartition(parts, "g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "node")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -356,89 +325,157 @@ def _across(groups: DataFrame, sketched: DataFrame, num: int, nearest: bool) ->
             if batch is not None:
                 held = batch if held is None else pd.concat([held, batch], ignore_index=True)
             if held is not None and len(held):
-                at = held[["key", "lo", "hi"]].to_numpy()
-                start = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]).any(axis=1)]))
+                at = held[["g", "lo", "hi", "node"]].to_numpy()
+                again = np.concatenate([[False], (at[1:] == at[:-1]).all(axis=1)])
+                if again.any():
+                    held, at = held[~again].reset_index(drop=True), at[~again]
+                start = np.flatnonzero(np.concatenate([[True], (at[1:, :3] != at[:-1, :3]).any(axis=1)]))
                 ends = np.append(start[1:], len(held)) if batch is None else start[1:]
-                columns = [held[c].to_numpy() for c in ("own", "node", "comp", "n", "sketch")]
+                columns = [held[c].to_numpy() for c in ("own", "node", "comp", "n", "data")]
                 a, b = [], []
                 for i, j in zip(start.tolist(), ends.tolist()):
                     if j - i > 1:
-                        x, y = cell(*at[i, 1:].tolist(), *(c[i:j] for c in columns))
+                        x, y = _cell(*at[i, 1:3].tolist(), *(c[i:j] for c in columns), num, exact)
                         a, b = a + x, b + y
                 held = None if batch is None else held.iloc[start[-1] :].reset_index(drop=True)
                 if a:
-                    yield pd.DataFrame({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
+                    yield pd.DataFrame({"a": a, "b": b})
             if batch is None:
                 return
 
-    return cells.mapInPandas(work, "a long, b long").distinct()
+    return cells.mapInPandas(work, "a long, b long")
 
 
-def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document: links are a Jaccard similarity of at least num / 100.
+def _block(count: str) -> str:
+    return f"cast(pmod(xxhash64(node), {count}) as int)"
 
-    component_id is the smallest doc_id that links reach. Null and empty texts have no shingles and stay alone; rows
-    of equal text, or equal doc_id, are one class; rows with null doc_id are left out; other columns are ignored.
+
+def _arranged(rows: DataFrame, weighed: bool) -> DataFrame:
+    """(g, lo, hi, own, node, comp) for `rows` (g, node, comp, n): each pair of members of a group in different components meets in a cell.
+
+    Of a group beyond one block the largest component is dealt to blocks of its own, which meet the other blocks but not each other.
     """
+    per = rows.groupBy("g", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    whole = per.groupBy(F.col("g").alias("_g")).agg(F.sum("c").alias("_c"), F.sum("w").alias("_w"), F.max(F.struct("c", "comp", "w")).alias("_main"), F.count("*").alias("_comps"))
+    blocks = (lambda c, w: f"greatest(1, cast(ceil({c} / {BLOCK}) as int), cast(ceil({w} / {BLOCK_SHINGLES}) as int))") if weighed else (lambda c, w: f"greatest(1, cast(ceil({c} / {BLOCK}) as int))")
+    whole = whole.filter("_comps > 1").selectExpr("_g", "_main.comp as _first", f"{blocks('_c', '_w')} as _all", f"{blocks('_c - _main.c', '_w - _main.w')} as _rest", f"{blocks('_main.c', '_main.w')} as _most")
+    dealt = rows.join(whole, F.col("g") == F.col("_g"))
+    own = f"case when _all = 1 then 0 when comp = _first then _rest + {_block('_most')} else {_block('_rest')} end"
+    others = "case when _all = 1 then array(0) when comp = _first then sequence(0, _rest - 1) else sequence(0, _rest + _most - 1) end"
+    met = dealt.selectExpr("g", "node", "comp", f"{own} as own", f"explode({others}) as other")
+    return met.selectExpr("g", "least(own, other) as lo", "greatest(own, other) as hi", "own", "node", "comp")
+
+
+def _with_label(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """`rows` with comp, the label of their node in `comps`, or the node itself."""
+    return rows.join(comps.selectExpr("node as _n", "label as _l"), F.col("node") == F.col("_n"), "left").withColumn("comp", F.expr("coalesce(_l, node)")).drop("_n", "_l")
+
+
+def _candidates(members: DataFrame, sketched: DataFrame, num: int) -> DataFrame:
+    """Stored links (a, b) of sets that may link by size and bit sketch; every pair that does has both ends in one component of them."""
+    # Each set in its largest group first: most groups then hold one component, and no pairs that are left to compare.
+    first = members.groupBy("node").agg(F.max(F.struct("m", "g")).alias("x")).selectExpr("x.g as g", "node")
+    many = first.groupBy(F.col("g").alias("_g")).agg(F.count("*").alias("_c")).filter("_c > 1")
+    first = first.join(many, F.col("g") == F.col("_g")).selectExpr("g", f"{_block(f'cast(ceil(_c / {BLOCK}) as int)')} as lo", "node")
+    found = materialize(_cells(first.selectExpr("g", "lo", "lo as hi", "lo as own", "node", "node as comp"), sketched, num, False), "links")
+    comps = components(found)
+    rows = materialize(_with_label(members.select("g", "node"), comps), "members")
+    across = materialize(_arranged(rows.join(sketched.select("node", "n"), "node"), False), "cells")
+    more = materialize(_cells(across, sketched, num, False).distinct(), "links")
+    both = materialize(found.union(more), "links")
+    discard(found, comps, rows, across, more)
+    return both
+
+
+def _linked(near: DataFrame, clusters: DataFrame, sets: DataFrame, num: int) -> DataFrame:
+    """Stored (node, label) of the sets that links reach within the `clusters` (node, label); `sets` has (node, n, data)."""
+    nodes = clusters.selectExpr("label as g", "node").join(sets.select("node", "n").distinct(), "node")
+    whole = nodes.groupBy(F.col("g").alias("_g")).agg(F.expr(f"greatest(cast(ceil(count(*) / {BLOCK}) as int), cast(ceil(sum(n) / {BLOCK_SHINGLES}) as int))").alias("_blocks"))
+    nodes = materialize(nodes.join(whole, F.col("g") == F.col("_g")).select("g", "node", "n", "_blocks"), "clusters")
+    dealt = nodes.selectExpr("g", f"{_block('_blocks')} as lo", "node")
+    large = nodes.filter("_blocks > 1")
+    degree = near.selectExpr("a as node").union(near.selectExpr("b as node")).groupBy("node").agg(F.count("*").alias("_d"))
+    hubs = large.join(degree, "node").selectExpr("g", "node", "_blocks", "row_number() over (partition by g order by _d desc, node) as _r").filter(f"_r <= {HUBS}")
+    dealt = dealt.union(hubs.selectExpr("g", "explode(sequence(0, _blocks - 1)) as lo", "node"))
+    found = materialize(_cells(dealt.selectExpr("g", "lo", "lo as hi", "lo as own", "node", "node as comp"), sets, num, True), "links")
+    comps = components(found)
+    across = materialize(_arranged(_with_label(large.select("g", "node", "n"), comps), True), "cells")
+    if not across.isEmpty():
+        more = materialize(_cells(across, sets, num, True), "links")
+        joined = components(found.union(more))
+        discard(comps, more)
+        comps = joined
+    discard(nodes, found, across)
+    return comps
+
+
+def classes(docs: DataFrame, n: int, num: int) -> DataFrame:
+    """doc_id, h, n_shingles, label (equal for documents that links join, null without shingles) and component_id of each row with a doc_id."""
     sent = materialize(sketches(docs, n, num), "keys")
-    groups = materialize(_groups(sent), "groups")
+    members = materialize(_groups(sent), "groups")
     marked = materialize(sent.drop("keys"), "sketches")
     discard(sent)
-    reps = materialize(marked.filter("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")), "classes")
-
-    named = reps.select("k1", "rep", "n_shingles", "sketch")
-    edge = groups.select("leader", "member").distinct()
-    pairs = edge.join(named.selectExpr("k1 as leader", "rep as ra", "n_shingles as na", "sketch as sa"), "leader").join(named.selectExpr("k1 as member", "rep as rb", "n_shingles as nb", "sketch as sb"), "member")
-    near = materialize(_close(pairs.selectExpr("least(ra, rb) as a", "greatest(ra, rb) as b", "na", "nb", "sa", "sb"), num), "pairs")
+    reps = marked.filter("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.min("sketch").alias("data"))
+    reps = materialize(reps.selectExpr("k1 as node", "k2", "n_shingles as n", "rep.doc_id as doc_id", "rep.h as h", "data"), "classes")
+    near = _candidates(members, reps.select("node", "n", "data"), num)
+    discard(members)
+    clusters = components(near)
 
-    # Groups of three or more still hold pairs without their leader; those of one component need no comparison.
-    inner = groups.filter("key is not null")
-    ids = near.selectExpr("a as rep").union(near.selectExpr("b")).union(inner.select(F.explode(F.array("leader", "member")).alias("k1")).distinct().join(named.select("k1", "rep"), "k1").select("rep")).distinct()
-    ids = materialize(ids, "ids")
-    wanted = ids.withColumnRenamed("rep", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = texts.join(F.broadcast(wanted) if ids.count() <= BROADCAST_IDS else wanted, "doc_id", "left_semi")
+    ids = materialize(reps.join(clusters, "node", "left_semi").select("doc_id", "h").distinct(), "ids")
+    texts = docs.select(F.col("doc_id").cast("long"), text_hash().alias("h"), F.col("text").cast("string"))
+    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, ["doc_id", "h"], "left_semi").select("text")
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"rep": batch["doc_id"], "s": [shingles(t, n).tobytes() for t in batch["text"].tolist()]})
-
-    sets = materialize(texts.mapInPandas(hashes, "rep long, s binary"), "sets")
+            found = [shingles(t, n) for t in batch["text"].tolist()]
+            yield pd.DataFrame({"node": [identity(s)[0] for s in found], "n": [len(s) for s in found], "data": [s.tobytes() for s in found]})
 
+    sets = materialize(texts.mapInPandas(hashes, "node long, n long, data binary"), "sets")
     discard(ids)
-    comps = _linked(near, None, sets, num)
-
-    # First the nearest sets of each two components that meet, as most links between them hold; then all that are left.
-    rows = materialize(inner.select("key", F.col("member").alias("k1")).join(named.select("k1", "rep", "n_shingles"), "k1").selectExpr("key", "rep as node", "n_shingles as n"), "members")
-    discard(groups)
-    sketched = named.select(F.col("rep").alias("node"), "sketch")
-    for nearest in (True, False):
-        members = materialize(rows.select("key", "node", "n").join(comps.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").selectExpr("key", "node", "coalesce(label, node) as comp", "n"), "members")
-        # Keys with the same members say the same; the smallest stands for them.
-        mixed = members.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_m"), F.expr("bit_xor(xxhash64(node))").alias("_x"), F.expr("bit_xor(xxhash64(node, 1))").alias("_y")).filter("_lo < _hi")
-        some = materialize(members.join(mixed.groupBy("_m", "_x", "_y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "members")
-        discard(rows, members)
-        rows = some
-        comps = _linked(materialize(_across(rows, sketched, num, nearest), "pairs"), comps, sets, num, apart=True)
-    discard(rows)
-    discard(sets)
+    comps = _linked(near, clusters, sets, num)
+    discard(sets, near, clusters)
 
-    named = materialize(reps.join(comps, F.col("rep") == F.col("node"), "left").selectExpr("k1 as c1", "k2 as c2", "n_shingles as cn", "coalesce(label, rep) as component"), "classes")
+    named = _with_label(reps, comps).selectExpr("node", "k2 as c2", "n as cn", "doc_id as rep", "comp")
+    least = named.groupBy(F.col("comp").alias("_comp")).agg(F.min("rep").alias("component"))
+    named = materialize(named.join(least, F.col("comp") == F.col("_comp")).select("node", "c2", "cn", "comp", "component"), "classes")
     discard(reps, comps)
-    out = marked.select("doc_id", "n_shingles", "k1", "k2").join(named, F.expr("k1 = c1 and k2 = c2 and n_shingles = cn"), "left")
-    return out.selectExpr("doc_id", "n_shingles", "coalesce(component, doc_id) as component_id")
+    out = marked.join(named, F.expr("k1 = node and k2 = c2 and n_shingles = cn"), "left")
+    return out.selectExpr("doc_id", "h", "n_shingles", "comp as label", "coalesce(component, doc_id) as component_id")
+
+
+def join(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document: links are a Jaccard similarity of at least num / 100.
+
+    component_id is the smallest doc_id that links reach. Null and empty texts have no shingles and stay alone; rows
+    of equal text are one class; rows of one doc_id with different texts are told apart, each with its own links. Rows
+    with null doc_id are left out; other columns are ignored. Sets are told apart, and shingles compared, by 64-bit hashes.
+    """
+    return classes(docs, n, num).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
-    """The documents with their columns, one of each component: that with the smallest doc_id, and of equal ids one row.
+    """The documents with their columns, one of each component: that with the smallest doc_id, then hash of the text.
 
-    Rows with a null doc_id belong to no component and stay.
+    Of rows repeated with doc_id and text one stays. Rows with a null doc_id, and those without words, which belong to
+    no component, all stay.
     """
-    found = join(docs.select("doc_id", "text"), n, num).groupBy("component_id").agg(F.min("doc_id").alias("_keep")).select("_keep")
-    some = docs.filter("doc_id is not null").join(found, F.col("doc_id") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.filter("doc_id is null"))
+    rows = materialize(classes(docs.select("doc_id", "text"), n, num).filter("label is not null").select("doc_id", "h", "label"), "labels")
+    best = rows.groupBy(F.col("label").alias("_l")).agg(F.min(F.struct("doc_id", "h")).alias("_best"))
+    gone = materialize(rows.join(best, F.col("label") == F.col("_l")).filter("doc_id <> _best.doc_id or h <> _best.h").selectExpr("doc_id as _d", "h as _t").distinct(), "ids")
+    again = materialize(rows.groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_t")).count().filter("count > 1").select("_d", "_t"), "ids")
+    discard(rows)
+
+    def small(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    same = (docs["doc_id"].cast("long") == F.col("_d")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_t"))
+    kept = docs.join(small(gone), same, "left_anti")
+    if again.isEmpty():
+        return kept
+    repeated = docs.join(small(gone), same, "left_anti").join(small(again), same, "left_semi")
+    return kept.join(small(again), same, "left_anti").unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:
-    """Four-word shingles at a similarity of 0.85 over all documents."""
+    """Four-word shingles at a similarity of 0.85 over all documents; see `join` for nulls, empty texts, ties and repeated rows."""
     return join(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
