@@ -43,12 +43,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete materialized tables that nothing reads any more, and let Spark drop the shuffles that led to them."""
+    """Delete materialized tables that nothing reads any more."""
     spark = tables[0].sparkSession
     for t in tables:
         where = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    spark._jvm.System.gc()  # shuffle files go when the driver finds that no plan refers to them
+
+
+def rows_whole(docs: DataFrame, *also: Column) -> DataFrame:
+    """_row, a struct of all columns of `docs`, and the columns `also`: whatever `docs` calls its columns, nothing clashes."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *also)
+
+
+def of_row(columns: list[str]) -> list[Column]:
+    return [F.col("_row").getField(c).alias(c) for c in columns]
 
 
 def words(text: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import table, word_count
+from leafwork.llm.common import materialize, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -76,8 +76,27 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = WEIGHTS, most
     return joined.select(*[f"`{c}`" for c in own], "source_size", "target", F.expr(f"cast(floor(_rate * ({rank} + 1) + _offset) - floor(_rate * {rank} + _offset) as long)").alias("copies"))
 
 
+def copied(docs: DataFrame, size: Column, **options) -> DataFrame:
+    """Each row of `docs`, with its columns alone, as often as the mix takes it; only doc_id, source and sizes are mixed.
+
+    Rows that agree in doc_id, source, text and size share what the mix gives them: as evenly as it goes.
+    """
+    narrow = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("h"))
+    mixed = mix(narrow, **options).groupBy("doc_id", "source", "size", "h").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    found = materialize(mixed.filter("_copies > 0").selectExpr("doc_id as _d", "source as _s", "size as _z", "h as _h", "_copies", "_rows"), "copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), size.alias("_size"), F.xxhash64("text").alias("_text"))
+    same = F.expr("_doc <=> _d and _source <=> _s and _size = _z and _text = _h")
+    once, again = found.filter("_rows = 1"), found.filter("_rows > 1")
+    out = rows.join(once, same).selectExpr("_row", "explode(sequence(1L, _copies)) as _copy").select("_row")
+    if not again.isEmpty():
+        shared = rows.join(again, same).selectExpr("_row", "_copies", "_rows", "row_number() over (partition by _d, _s, _z, _h order by _h) - 1 as _place")
+        taken = shared.selectExpr("_row", "_copies div _rows + if(_place < _copies % _rows, 1, 0) as _n").filter("_n > 0")
+        out = out.union(taken.selectExpr("_row", "explode(sequence(1L, _n)) as _copy").select("_row"))
+    return out.select("_row.*")
+
+
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document."""
+    """What the mix takes of each document; a null text has size 0, a null source is the last, repeated rows count each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mix(docs).selectExpr("doc_id", "size", "source_size", "target", "copies * size as taken")
 

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import materialize, table
+from leafwork.llm.common import of_row, rows_whole, table
 
 # The base patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -27,6 +27,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 #: The labelled sample: so many documents with pattern matches, and so many for identifiers, by smallest hash.
 TRAIN_DOCS = 2_000
+#: Values that one document gives to the sample of random strings, and characters of one value.
+TRAIN_VALUES, TRAIN_CHARS = 64, 256
 #: Log-likelihood ratio that a run needs: odds of e**12 against the rarity of secrets.
 LEAST_RATIO = 12.0
 SMOOTHING = 0.5
@@ -39,13 +41,17 @@ _BLOCK = 256
 _SPAN = "array<struct<start: long, end: long, value: string>>"
 
 
+def _quoted(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _spans(columns: list[str], text: str, pattern: str, group: int, least: int, out: str) -> list[list[str]]:
     """Two projections that give `out`, the leftmost non-overlapping matches with code-point positions.
 
     The texts between the matches and the matches themselves have lengths, and the positions are their running sums,
     taken over blocks so that a text with very many matches stays cheap.
     """
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    quoted = _quoted(pattern)
     hit = f"{text} rlike '{quoted}'"
     value = f"regexp_extract_all({text}, '{quoted}', {group})"
     first = [
@@ -96,14 +102,21 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
     """Log ratios of random against ordinary by pair of characters, (len(ALPHABET) + 1) squared values.
 
     Labels: values that the patterns found are random strings; words outside of them, with letters, are ordinary
-    identifiers. The sample holds at most `train_docs` documents for each label; with no sample a model is uniform.
-    What reaches the driver is a count for each pair of characters.
+    identifiers. Random strings come from the `train_docs` documents with matches that have the smallest hashes, at most
+    TRAIN_VALUES from each and TRAIN_CHARS characters of one; identifiers from all documents whose hash is within the share
+    that makes `train_docs` documents. With no sample a model is uniform. What reaches the driver is a count for each pair
+    of characters.
     """
-    order = F.xxhash64("doc_id")
-    hits = docs.select("doc_id", "text").filter(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).orderBy(order, "doc_id").limit(train_docs)
-    values = pattern_spans(hits).selectExpr("explode(transform(concat(_assign, _access, _hex), s -> s.value)) as v").filter("char_length(v) >= 16").selectExpr(f"regexp_replace(v, '[^A-Za-z0-9+/_=-]', '') as v").filter("v <> ''")
-    plain = docs.select("doc_id", "text").filter("text is not null").orderBy(order, "doc_id").limit(train_docs)
-    names = plain.selectExpr(f"explode(regexp_extract_all(regexp_replace(text, '{ASSIGN.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}|{ACCESS}|{HEX}', ' '), '{IDENTIFIER}', 0)) as v").filter("v rlike '[A-Za-z]'")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    hits = pattern_spans(rows.filter(" or ".join(f"text rlike '{_quoted(p)}'" for p in (ASSIGN, ACCESS, HEX))))
+    short = hits.selectExpr("doc_id", f"slice(transform(filter(concat(_assign, _access, _hex), s -> char_length(s.value) >= 16), s -> regexp_replace(substring(s.value, 1, {TRAIN_CHARS}), '[^A-Za-z0-9+/_=-]', '')), 1, {TRAIN_VALUES}) as vs")
+    values = short.orderBy(F.xxhash64("doc_id"), "doc_id", "vs").limit(train_docs).selectExpr("explode(vs) as v").filter("v <> ''")
+    share = min(1.0, train_docs / max(1, docs.count()))
+    plain = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    bare = "text"
+    for p in (ASSIGN, ACCESS, HEX):
+        bare = f"regexp_replace({bare}, '{_quoted(p)}', ' ')"
+    names = plain.selectExpr(f"explode(regexp_extract_all({bare}, '{IDENTIFIER}', 0)) as v").filter("v rlike '[A-Za-z]'")
     size = len(ALPHABET) + 1
     tables = []
     for strings in (values, names):
@@ -125,15 +138,19 @@ def judged(found: DataFrame, ratios: list[float], least: float = LEAST_RATIO) ->
 def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = LEAST_RATIO) -> DataFrame:
     """`docs` with secrets: array<struct<start, kind_order, end, kind, value>>, sorted by start and kind.
 
-    A null or empty text has none. Kinds may overlap; spans of one kind don't. Repeated rows are scanned each. Columns
-    of `docs` named `secrets` or beginning with an underscore are replaced.
+    A null or empty text has none. Kinds may overlap; spans of one kind don't. Repeated rows are scanned each. A column
+    of `docs` named `secrets` is replaced; all others, whatever their names, stay as they are.
     """
-    own = [c for c in docs.columns if c != "secrets" and not c.startswith("_")]
-    docs = docs.select(*[f"`{c}`" for c in own])
-    found = pattern_spans(docs)
+    own = [c for c in docs.columns if c != "secrets"]
+    return _scanned(docs.select(*[f"`{c}`" for c in own]), train_docs, least).select(*of_row(own), "secrets")
+
+
+def _scanned(docs: DataFrame, train_docs: int = TRAIN_DOCS, least: float = LEAST_RATIO) -> DataFrame:
+    """_row (the columns of `docs`), text and secrets."""
+    found = pattern_spans(rows_whole(docs, F.col("text").cast("string").alias("text")))
     ratios = train(docs, train_docs)
     every = ", ".join(f"transform(_{k}, s -> named_struct('start', s.start, 'kind_order', {n}, 'end', s.end, 'kind', '{k}', 'value', s.value))" for n, k in enumerate(KINDS))
-    return judged(found, ratios, least).select(*[f"`{c}`" for c in own], F.expr(f"array_sort(concat({every}))").alias("secrets"))
+    return judged(found, ratios, least).select("_row", "text", F.expr(f"array_sort(concat({every}))").alias("secrets"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
@@ -141,18 +158,19 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
 
     Spans that overlap or touch become one mark. A text without secrets stays as it is; a null text stays null.
     """
-    rows = scan(docs, **options)
+    rows = _scanned(docs, **options)
     last = "a[size(a) - 1]"
     merged = f"aggregate(secrets, cast(array() as array<struct<start: long, end: long>>), (a, s) -> if(size(a) > 0 and s.start <= a[if(size(a) > 0, size(a) - 1, 0)].end, concat(slice(a, 1, size(a) - 1), array(named_struct('start', {last}.start, 'end', greatest({last}.end, s.end)))), concat(a, array(named_struct('start', s.start, 'end', s.end)))))"
     rows = rows.withColumn("_spans", F.when(F.size("secrets") > 0, F.expr(merged)).otherwise(F.expr("cast(array() as array<struct<start: long, end: long>>)")))
     kept = "transform(_spans, (s, i) -> substring(text, cast(if(i > 0, _spans[if(i > 0, i - 1, 0)].end, 0) as int) + 1, cast(s.start - if(i > 0, _spans[if(i > 0, i - 1, 0)].end, 0) as int)))"
     tail = "substring(text, cast(_spans[size(_spans) - 1].end as int) + 1)"
-    text = F.when(F.size("_spans") > 0, F.expr(f"concat(array_join(transform({kept}, x -> concat(x, '{mark}')), ''), {tail})")).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = F.size("_spans") > 0
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    changed = F.size("_spans") > 0
+    out = rows.withColumn("_new", F.when(changed, F.expr(f"concat(array_join(transform({kept}, x -> concat(x, '{mark}')), ''), {tail})")).otherwise(F.col("text")))
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("_new").cast(kinds["text"])}
+    if "n_chars" in kinds:
+        new["n_chars"] = F.when(changed, F.length("_new").cast(kinds["n_chars"])).otherwise(F.col("_row").getField("n_chars"))
+    return out.select(*[new[c].alias(c) if c in new else x for c, x in zip(docs.columns, of_row(docs.columns))])
 
 
 def digest(spans: Column) -> Column:
@@ -161,7 +179,8 @@ def digest(spans: Column) -> Column:
 
 
 def op2_secrets(spark, sf_dir: str) -> DataFrame:
-    """The secrets of all documents."""
+    """The secrets of all documents. A null or empty text has none, a repeated row is scanned each time, and an empty
+    table gives no rows; only doc_id and text are read."""
     rows = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return rows.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(digest(F.filter("secrets", lambda s: s["kind"] != "markov")), 256).alias("base_sha256"), digest(F.col("secrets")).alias("spans"), n("markov"))
