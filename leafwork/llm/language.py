@@ -3,16 +3,19 @@
 For each language a suffix automaton of labelled text is built once. A text is parsed from left to right into the
 longest phrases that occur in a language's labelled text; the language that needs the fewest phrases, normalised by the
 text's length, wins. A greedy parse only follows transitions and starts again at the root when there is none, so each
-automaton becomes one dense table of (state, character class) with the restart folded in, and many segments of text
-step through it together. Segments are cut every SEGMENT characters of the whole text, which adds at most one phrase a
-segment, to every language alike.
+automaton becomes one dense table of (state, byte) with the restart folded in, and many segments of text step through it
+together. Texts are lower-case letters and marks in UTF-8, so letters of any script are told apart, and a table has only the bytes that
+its language uses. Segments are cut every SEGMENT bytes of the whole text, which adds at most one phrase a segment, to
+every language alike.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import sys
+import unicodedata
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,19 +24,32 @@ from pyspark.sql import functions as F
 
 from leafwork.llm.common import table
 
-#: Labelled characters by language that an automaton holds, and documents by language that they are taken from.
-TRAIN_CHARS = 24_000
+#: Labelled bytes by language that an automaton holds, documents by language that they are taken from, and bytes of one
+#: piece: pieces come from hashed places all over each document.
+TRAIN_BYTES = 24_000
 TRAIN_DOCS = 64
+PIECE = 96
 SEGMENT = 512
-#: Character classes with a meaning of their own; all other letters share one.
-ALPHABET = 126
 #: Segments that step together.
 WIDTH = 16_384
 
 
-def _clean(text: str) -> str:
-    """Lower case, with each run of anything but letters as one space."""
-    return " ".join(re.findall(r"[^\W\d_]+", text.lower()))
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """By code point 2 for letters, 1 for marks, else 0."""
+    return np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)], np.uint8)
+
+
+def _clean(text: str) -> bytes:
+    """Lower case in UTF-8, with each run of anything but letters and marks as one space; empty if there is no letter."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _kinds()[codes]
+    if not (kind == 2).any():
+        return b""
+    part = kind > 0
+    keep = part.copy()
+    keep[1:] |= part[:-1]
+    return np.where(part, codes, 32)[keep].astype(np.uint32).tobytes().decode("utf-32-le").strip().encode()
 
 
 class Automaton:
@@ -81,44 +97,39 @@ class Automaton:
 
 
 class Model:
-    """Automata by language over one alphabet."""
-
-    def __init__(self, texts: dict[str, str]):
-        counts = Counter()
-        for text in texts.values():
-            counts.update(text)
-        self.alphabet = {c: k + 1 for k, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])}
-        self.classes = len(self.alphabet) + 2  # 0 pads, the last is any other letter
+    """Automata by language, each over the bytes of its own text."""
+
+    def __init__(self, texts: dict[str, bytes]):
         self.languages = sorted(texts)
-        self.tables = []
+        self.tables, self.codes, self.classes = [], [], []
         for name in self.languages:
-            symbols = [self.alphabet.get(c, self.classes - 1) for c in texts[name]]
-            full = Automaton(symbols, self.classes).table.reshape(-1, self.classes)
+            text = np.frombuffer(texts[name], np.uint8)
+            codes = np.zeros(256, np.int32)  # 0 pads, the last is any byte that the language doesn't have
+            own = np.unique(text)
+            codes[1:] = len(own) + 1
+            codes[own] = np.arange(1, len(own) + 1)
+            full = Automaton(codes[text].tolist(), len(own) + 2).table.reshape(-1, len(own) + 2)
             full[:, 0] = 0  # padding goes to the root and counts nothing
             self.tables.append(np.ascontiguousarray(full.ravel()))
-        self.codes = np.full(0x110000, self.classes - 1, np.uint8)
-        for c, k in self.alphabet.items():
-            self.codes[ord(c)] = k
+            self.codes.append(codes)
+            self.classes.append(len(own) + 2)
 
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases of each text by language, and the texts' lengths, for cleaned texts."""
+    def phrases(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each text by language, and the texts' lengths in bytes, for cleaned texts."""
         counts = np.zeros((len(texts), len(self.languages)), np.int64)
         sizes = np.array([len(t) for t in texts], np.int64)
-        rows = -(-sizes // SEGMENT)
-        owner = np.repeat(np.arange(len(texts)), rows)
-        joined = "".join(t + "\0" * (-len(t) % SEGMENT) for t in texts)
+        owner = np.repeat(np.arange(len(texts)), -(-sizes // SEGMENT))
+        joined = b"".join(t + b"\0" * (-len(t) % SEGMENT) for t in texts)
         if not joined:
             return counts, sizes
-        codes = self.codes[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
-        codes[np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 0] = 0
-        grid = codes.reshape(-1, SEGMENT)
+        grid = np.frombuffer(joined, np.uint8).reshape(-1, SEGMENT)
         for at in range(0, len(grid), WIDTH):
-            columns = np.ascontiguousarray(grid[at : at + WIDTH].T).astype(np.int32)
+            columns = np.ascontiguousarray(grid[at : at + WIDTH].T)
             for k, steps in enumerate(self.tables):
                 state = np.zeros(columns.shape[1], np.int32)
                 found = np.zeros(columns.shape[1], np.int32)
                 for column in columns:
-                    got = steps.take(state * self.classes + column)
+                    got = steps.take(state * self.classes[k] + self.codes[k].take(column))
                     found += got & 1
                     state = got >> 1
                 np.add.at(counts[:, k], owner[at : at + WIDTH], found)
@@ -141,40 +152,71 @@ def labelled(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     return rows.filter(keep).selectExpr("lang", "text", "row_number() over (partition by lang order by _h, doc_id, text) as _n").filter(F.col("_n") <= train_docs)
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> Model:
-    """A model from documents with lang; at most `train_chars` characters by language are kept, cut from whole samples.
+def pieces(text: str, most: int = TRAIN_BYTES) -> bytes:
+    """At most `most` bytes of a cleaned text: all of it, or pieces from places that a hash picks from the whole text."""
+    whole = _clean(text)
+    if len(whole) <= most:
+        return whole
+    cut = [whole[i : i + PIECE] for i in range(0, len(whole), PIECE)]
+    order = sorted(range(len(cut)), key=lambda k: (zlib.crc32(cut[k], k), k))
+    return b"".join(cut[k] for k in order)[:most]
+
+
+def shares(sizes: list[int], most: int) -> list[int]:
+    """What each of several texts gives to a sum of `most`: alike, and what short ones can't give falls to longer ones."""
+    out, left = [0] * len(sizes), most
+    order = sorted(range(len(sizes)), key=lambda k: sizes[k])
+    for n, k in enumerate(order):
+        out[k] = min(sizes[k], left // (len(order) - n))
+        left -= out[k]
+    return out
+
+
+def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> Model:
+    """A model from documents with lang; at most `train_bytes` bytes by language are kept, from all over the sampled texts.
 
-    Each sampled text gives an equal share, so one long document can't stand for a language.
+    Each sampled text gives an equal share, so one long document can't stand for a language; what short ones lack, longer
+    ones give. Only pieces reach the driver: at most `train_bytes` a text.
     """
-    texts: dict[str, list[str]] = {}
-    for r in labelled(docs, train_docs).orderBy("lang", "_n").toLocalIterator():
-        texts.setdefault(r["lang"], []).append(_clean(r["text"]))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"lang": batch["lang"], "n": batch["_n"], "piece": [pieces(t, train_bytes) for t in batch["text"].tolist()]})
+
+    texts: dict[str, list[bytes]] = {}
+    found = labelled(docs, train_docs).select("lang", "text", F.col("_n").cast("long").alias("_n")).mapInPandas(cut, "lang string, n long, piece binary")
+    for r in found.orderBy("lang", "n").toLocalIterator():
+        if r["piece"]:
+            texts.setdefault(r["lang"], []).append(bytes(r["piece"]))
     joined = {}
     for lang, parts in texts.items():
-        share = max(1, train_chars // len(parts))
-        spare = train_chars
-        own = []
-        for p in sorted((p for p in parts if p), key=len):
-            own.append(p[:share])
-            spare -= len(own[-1])
-        if own:
-            joined[lang] = " ".join(own)
+        each = shares([len(p) for p in parts], train_bytes)
+        joined[lang] = b" ".join(_whole(p, PIECE, n) for p, n in zip(parts, each))
     return Model(joined)
 
 
+def _whole(text: bytes, size: int, most: int) -> bytes:
+    """At most `most` bytes from pieces of `size` bytes of a text, spread over it."""
+    if len(text) <= most:
+        return text
+    cut = [text[i : i + size] for i in range(0, len(text), size)]
+    order = sorted(range(len(cut)), key=lambda k: (zlib.crc32(cut[k], k), k))[: -(-most // size)]
+    return b"".join(cut[k] for k in sorted(order))[:most]
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every row, from its whole text.
 
-    A null text, or one without letters, is `und` with score 0, and so is every text under a model without languages.
+    A null text, or one without letters (Unicode category L), is `und` with score 0, and so is every text under a model without languages.
     The score is how much fewer phrases the winner needs than the runner-up, as a share; ties go to the first language
     by name with score 0. Repeated rows are judged each; other columns are ignored.
     """
-    handed = docs.sparkSession.sparkContext.broadcast(model) if model.languages else None  # size bounded by TRAIN_CHARS
+    handed = docs.sparkSession.sparkContext.broadcast(model) if model.languages else None  # size bounded by TRAIN_BYTES
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = handed.value if handed else None
         for batch in batches:
-            texts = [_clean(t) if t else "" for t in batch["text"].tolist()]
+            texts = [_clean(t) if t else b"" for t in batch["text"].tolist()]
             pred, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             if m and texts:
                 counts, sizes = m.phrases(texts)
@@ -196,7 +238,11 @@ def held_out(docs: DataFrame) -> DataFrame:
 
 
 def op6_language(spark, sf_dir: str) -> DataFrame:
-    """The language of every document, learned from those not held out."""
+    """The language of every document, learned from those not held out.
+
+    A null text, or one without letters, is `und` with score 0; repeated rows are judged each; a null doc_id counts as
+    an empty text in the split. Without labelled text, or without rows, all is `und` or empty.
+    """
     docs = held_out(table(spark, sf_dir, "documents"))
     model = fit(docs.filter(~F.col("held_out")).select("doc_id", "lang", "text"))
     rows = identify(docs.select("doc_id", "text"), model)

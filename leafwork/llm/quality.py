@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import BLANKS, table, words
+from leafwork.llm.common import BLANKS, materialize, of_row, rows_whole, table, words
 
 WINDOW = 5
 #: Rule name and condition over the measurements, by bit.
@@ -82,15 +82,21 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """`docs` without text, with MEASURES and failed_bits (long).
+    """`docs` without text, with MEASURES and failed_bits (long), stored once; policies and ablations read what is stored.
 
     Nulls: a null text measures 0 everywhere and so fails too_few_words. Repeated rows give a ledger row each. Columns
     of `docs` that clash with the ledger's are replaced by the ledger's.
     """
     own = [c for c in docs.columns if c not in {*MEASURES, "failed_bits"}]
-    rows = measured(docs.select(*[f"`{c}`" for c in own]))
+    rows = judged(docs.select(*[f"`{c}`" for c in own])).select(*of_row([c for c in own if c != "text"]), *MEASURES, "failed_bits")
+    return materialize(rows, "ledger")
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """_row (the columns of `docs`), MEASURES and failed_bits: every rule evaluated once."""
+    rows = measured(rows_whole(docs, F.col("text").cast("string").alias("text")))
     bits = " | ".join(f"if({rule}, {1 << k}L, 0L)" for k, (_, rule) in enumerate(RULES))
-    return rows.select(*[f"`{c}`" for c in own if c != "text"], *MEASURES, F.expr(f"{bits} | if(monotonically_increasing_id() < 0, 1L, 0L)").alias("failed_bits"))  # see keep_documents
+    return rows.select("_row", *MEASURES, F.expr(bits).alias("failed_bits"))
 
 
 def kept(policy: str = "v1") -> Column:
@@ -110,17 +116,14 @@ def ablation(rows: DataFrame, policy: str = "v1", by: str | None = None) -> Data
 
 
 def keep_documents(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """The documents that pass a policy, with the columns of `docs`."""
-    marked = measured(docs.withColumn("_row", F.struct(*[f"`{c}`" for c in docs.columns])).select("_row", "text"))
-    bits = " | ".join(f"if({rule}, {1 << k}L, 0L)" for k, (name, rule) in enumerate(RULES) if name in POLICIES[policy])
-    # The id is never negative; it keeps the optimizer from copying all measurements into a filter on the scan.
-    failed = F.expr(f"{bits} | if(monotonically_increasing_id() < 0, 1L, 0L)")
-    return marked.select("_row", failed.alias("_failed")).filter("_failed = 0").select("_row.*")
+    """The documents that pass a policy, with the columns of `docs`. The ledger is stored with the documents; the policy reads its bits."""
+    led = materialize(judged(docs), "ledger")
+    return led.filter(kept(policy)).select("_row.*")
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
-    """The ledger of all documents under policy v1."""
-    rows = ledger(table(spark, sf_dir, "documents"))
+    """The ledger of all documents, stored, under policy v1; a null or empty text measures 0, repeated rows count each."""
+    rows = ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~kept("base")).alias("base_failed"), kept("v1").alias("kept"), "failed_bits")
 
 

@@ -116,7 +116,7 @@ def test_language(spark):
     train = [(k, s, make(s, 60)) for k, s in enumerate(list(sounds) * 20)] + [(900, None, "x"), (901, "aa", None)]
     docs = spark.createDataFrame(train, "doc_id long, lang string, text string")
     model = language.fit(docs)
-    tests = [(k, make(s, 30), s) for k, s in enumerate(list(sounds) * 10)] + [(100, None, "und"), (101, "123 !?", "und"), (102, make("bb", 30_000), "bb"), (102, make("bb", 10), "bb")]
+    tests = [(k, make(s, 30), s) for k, s in enumerate(list(sounds) * 10)] + [(100, None, "und"), (101, "123 !?", "und"), (103, "½ ² ³ Ⅷ ①", "und"), (104, "\u0301 \u0301", "und"), (102, make("bb", 30_000), "bb"), (102, make("bb", 10), "bb")]
     asked = spark.createDataFrame([(a, b) for a, b, _ in tests], "doc_id long, text string").withColumn("score", F.lit("clash"))
     got = language.identify(asked, model).collect()
     assert sorted((r.doc_id, r.lang_pred) for r in got) == sorted((a, c) for a, _, c in tests) and all(0 <= r.score <= 1 for r in got)
@@ -124,8 +124,25 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identify(asked, none).collect()} == {"und"}
 
 
+def test_languages_of_many_signs(spark):
+    r = random.Random(2)
+    signs = {s: [chr(0x4E00 + 2 * k + i) for k in range(3000)] for i, s in enumerate(("even", "odd"))}
+    make = lambda s, n: "".join(r.choice(signs[s]) for _ in range(n))
+    docs = spark.createDataFrame([(k, s, make(s, 2000)) for k, s in enumerate(["even", "odd"] * 10)], "doc_id long, lang string, text string")
+    model = language.fit(docs)
+    asked = [(k, make(s, 300), s) for k, s in enumerate(["even", "odd"] * 10)]
+    got = language.identify(spark.createDataFrame([(a, b) for a, b, _ in asked], "doc_id long, text string"), model).collect()
+    assert {(x.doc_id, x.lang_pred) for x in got} == {(a, c) for a, _, c in asked}
+
+
+def test_training_text_comes_from_everywhere():
+    text = " ".join(["front"] * 5_000 + ["back"] * 5_000)
+    assert b"front" in language.pieces(text, 2_000) and b"back" in language.pieces(text, 2_000)
+    assert language.shares([10, 1_000, 1_000, 5], 215) == [10, 100, 100, 5] and language.shares([3], 9) == [3] and language.shares([], 9) == []
+
+
 def test_automaton_counts_phrases():
-    model = language.Model({"x": "abcabd"})
+    model = language.Model({"x": b"abcabd"})
     for t in ("abcabd", "abdabc", "zz", "cabz", "a", "dd"):
         want, at = 0, 0
         while at < len(t):
@@ -134,7 +151,7 @@ def test_automaton_counts_phrases():
                 n += 1
             at += max(1, n - 1)
             want += 1
-        assert model.phrases([t])[0][0, 0] == want, t
+        assert model.phrases([t.encode()])[0][0, 0] == want, t
 
 
 def test_warc_round_trip(spark):
