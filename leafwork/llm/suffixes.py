@@ -82,31 +82,31 @@ def positions(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, n
 
 def runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """A row per run of windows with one S-position: core (its gram hash), full (hash of all bytes of the run's windows
-    and the place of the S-position in them), uid, lo (first window), least and most (bytes from a window's start to
-    the S-position)."""
+    and the place of the S-position in them), doc and uid (the text's document and hash), lo (first window), least and most
+    (bytes from a window's start to the S-position)."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from xxhash import xxh3_64_intdigest
 
         for batch in batches:
             texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in batch["text"].tolist()]
-            uids = batch["uid"].to_numpy()
+            ids, uids = batch["doc"].to_numpy(), batch["uid"].to_numpy()
             out = []
             for k, first, last, s, core in positions(texts, length):
                 text, least, most = texts[k], s - last, s - first
                 full = [xxh3_64_intdigest(text[a : b + length], c) for a, b, c in zip(first.tolist(), last.tolist(), most.tolist())]
-                out.append((core.view(np.int64), np.array(full, np.uint64).view(np.int64), np.full(len(s), uids[k]), first, least, most))
+                out.append((core.view(np.int64), np.array(full, np.uint64).view(np.int64), np.full(len(s), ids[k]), np.full(len(s), uids[k]), first, least, most))
             if out:
-                yield pd.DataFrame(dict(zip(["core", "full", "uid", "lo", "least", "most"], (np.concatenate(x) for x in zip(*out)))))
+                yield pd.DataFrame(dict(zip(["core", "full", "doc", "uid", "lo", "least", "most"], (np.concatenate(x) for x in zip(*out)))))
 
-    return docs.select("uid", "text").mapInPandas(find, "core long, full long, uid long, lo long, least int, most int")
+    return docs.select("doc", "uid", "text").mapInPandas(find, "core long, full long, doc long, uid long, lo long, least int, most int")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """core, full, n, least, most, right (bytes from the S-position) and left (the bytes before it, nearest first)."""
-    asked = materialize(wanted.groupBy("uid").agg(F.collect_list(F.struct("core", "full", "n", "lo", "least", "most")).alias("asked")), "asked")
-    some = asked.select("uid")
-    texts = docs.select("uid", "text").join(F.broadcast(some) if asked.count() <= BROADCAST_IDS else some, "uid", "left_semi").dropDuplicates(["uid"])
+    asked = materialize(wanted.groupBy("doc", "uid").agg(F.collect_list(F.struct("core", "full", "n", "lo", "least", "most")).alias("asked")), "asked")
+    some = asked.select("doc", "uid")
+    texts = docs.select("doc", "uid", "text").join(F.broadcast(some) if asked.count() <= BROADCAST_IDS else some, ["doc", "uid"], "left_semi").dropDuplicates(["doc", "uid"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,7 +118,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     rows.append((x["core"], x["full"], x["n"], x["least"], x["most"], text[s : s - x["least"] + length], text[x["lo"] : s][::-1]))
             yield pd.DataFrame(rows, columns=["core", "full", "n", "least", "most", "right", "left"])
 
-    return texts.join(asked, "uid").select("text", "asked").mapInPandas(cut, "core long, full long, n long, least int, most int, right binary, left binary")
+    return texts.join(asked, ["doc", "uid"]).select("text", "asked").mapInPandas(cut, "core long, full long, n long, least int, most int, right binary, left binary")
 
 
 class _RangeMinimum:
@@ -241,11 +241,11 @@ def _counted(rows: DataFrame, length: int) -> DataFrame:
 
 
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """uid, spans: array<struct<a: long, b: long>> of bytes covered by repeated strings; spans may overlap."""
+    """doc, uid, spans: array<struct<a: long, b: long>> of bytes covered by repeated strings; spans may overlap."""
     found = materialize(runs(docs, length), "runs")
     twice = found.groupBy("core").agg(F.count("*").alias("_n")).filter("_n > 1").select("core")
     rows = materialize(found.join(twice, "core", "left_semi"), "contested")
-    contexts = materialize(rows.groupBy("core", "full").agg(F.count("*").alias("n"), F.min(F.struct("uid", "lo", "least", "most")).alias("at")).select("core", "full", "n", "at.*"), "contexts")
+    contexts = materialize(rows.groupBy("core", "full").agg(F.count("*").alias("n"), F.min(F.struct("doc", "uid", "lo", "least", "most")).alias("at")).select("core", "full", "n", "at.*"), "contexts")
     mixed = materialize(contexts.groupBy("core").agg(F.count("*").alias("_m"), F.min("n").alias("_least")).filter("_m > 1 and _least = 1").select(F.col("core").alias("_core"), "_m"), "mixed")
     wanted = contexts.join(mixed, F.col("core") == F.col("_core"))
     texts = materialize(_fetch(docs, wanted.drop("_core", "_m"), length), "contexts")
@@ -257,8 +257,8 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     copies = contexts.filter("n > 1").selectExpr("core", "full", "least as from_step", "most as to_step")
     once = contexts.filter("n = 1").select("core", "full")
     steps = materialize(copies.unionByName(induced.join(once, ["core", "full"], "left_semi")), "steps").selectExpr("core as _c", "full as _f", "from_step", "to_step")
-    hit = rows.join(steps, F.expr("core = _c and full = _f")).selectExpr("uid", f"named_struct('a', lo + most - to_step, 'b', lo + most - from_step + {length}) as s")
-    return hit.groupBy("uid").agg(F.collect_list("s").alias("spans"))
+    hit = rows.join(steps, F.expr("core = _c and full = _f")).selectExpr("doc", "uid", f"named_struct('a', lo + most - to_step, 'b', lo + most - from_step + {length}) as s")
+    return hit.groupBy("doc", "uid").agg(F.collect_list("s").alias("spans"))
 
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -266,10 +266,11 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Strings are compared as they stand in the input. Null and empty texts have no bytes; a text shorter than `length`
     keeps all. Of repeated rows each is another place of the same strings, so all lose them. Strings never cross rows.
+    Rows are told apart by doc_id and the text's hash, so rows that agree in both share their spans.
     """
-    keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("doc_id", "text"))
+    keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("doc", F.coalesce("doc_id", F.lit(-1))).withColumn("uid", F.xxhash64("text"))
     spans = materialize(repeated(keyed, length), "spans")
-    joined = keyed.join(spans, "uid", "left").select("doc_id", "text", "spans")
+    joined = keyed.join(spans, ["doc", "uid"], "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -294,6 +295,6 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def op9_suffixes(spark, sf_dir: str) -> DataFrame:
-    """Bytes in 200-byte strings that occur more than once, over all documents."""
+    """Bytes in 200-byte strings that occur more than once, over all documents; see `remove` for nulls and repeated rows."""
     rows = remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

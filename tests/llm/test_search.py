@@ -66,13 +66,13 @@ def test_jaccard_of_nothing(spark):
 def test_topk(spark):
     r = np.random.default_rng(4)
     rows = [(k, [float(x) for x in r.normal(0, 0.3, 8)]) for k in range(300)] + [(k, [0.25] * 8) for k in range(300, 340)]
-    rows += [(400, None), (420, [float("nan")] * 8), (440, [0.5, None] * 4), (460, [1.0, 2.0]), (480, [2.0, 1.0]), (500, [1e12, 1e12]), (None, [0.1] * 8), (520, [])]
+    rows += [(400, None), (420, [float("nan")] * 8), (440, [0.5, None] * 4), (460, [1.0, 2.0]), (480, [2.0, 1.0]), (500, [1e12, 1e12]), (502, [1e12, 1.0]), (504, [1e12, 2.0]), (506, [-1e300, 3.0]), (508, [1e307, 0.0]), (540, [0.0, 2.0**50]), (542, [1.0, 2.0**50]), (544, [0.0, 2.0**50]), (None, [0.1] * 8), (520, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("part", F.lit("clash"))
-    q = {k: [int(np.floor(64 * x)) for x in v] for k, v in rows if k is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    q = {k: [int(np.floor(64 * x)) for x in v] for k, v in rows if k is not None and v is not None and all(x is not None and np.isfinite(64 * x) for x in v)}
     want = []
     for a in q:
         if a % 20 == 0:
-            near = sorted((-sum(x * y for x, y in zip(q[a], q[b])), b) for b in q if b != a and len(q[b]) == len(q[a]))[:20]
+            near = sorted((-min(2**63 - 1, max(-(2**63), sum(x * y for x, y in zip(q[a], q[b])))), b) for b in q if b != a and len(q[b]) == len(q[a]))[:20]
             want += [(a, n + 1, b, -s) for n, (s, b) in enumerate(near)]
     assert sorted(map(tuple, topk.search(df).collect())) == sorted(want)
     assert topk.search(df.limit(0)).count() == 0
