@@ -27,6 +27,8 @@ CAPACITY = 2048
 SEARCH_NODES = 5_000
 #: Steps of one enumeration of fillings, and fillings tried from one node.
 FILL_STEPS, BRANCHES = 400, 3
+#: Pieces of the longest filling that is tested for dominance.
+TESTED_PIECES = 20
 #: Words that a worker remembers with their ids.
 CACHE_WORDS = 500_000
 #: Pieces of one length and bucket that one task ranks, about.
@@ -177,18 +179,35 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
+def dominates(a: list[int], b: list[int]) -> bool:
+    """Whether b's lengths can be put into the places that a's lengths leave, several into one: then a does at least as well as b.
+
+    Not tested for b of more than TESTED_PIECES pieces, which costs search steps only.
+    """
+    if len(a) > len(b) or sum(b) > sum(a) or len(b) > TESTED_PIECES:
+        return False
+    rest = sorted(b, reverse=True)
+
+    def put(k: int, rooms: tuple[int, ...]) -> bool:
+        if k == len(rest):
+            return True
+        return any(put(k + 1, (*rooms[:r], rooms[r] - rest[k], *rooms[r + 1 :])) for r in range(len(rooms)) if rooms[r] >= rest[k] and rooms[r] not in rooms[:r])
+
+    return put(0, tuple(sorted(a, reverse=True)))
+
+
 def fillings(left: _Lengths, room: int, steps: int = FILL_STEPS, most: int = BRANCHES) -> list[list[int]]:
-    """Undominated fillings of `room`, least waste first, then fewer and larger lengths.
+    """The first `most` undominated fillings of `room` that `steps` steps find, least waste first, then fewer and larger lengths.
 
-    The first is the best fit by largest lengths. The filling at which the steps run out is completed by largest
-    lengths, so none leaves room that a length left would fit. A filling is dropped if one item of another could be swapped for
-    several of its own within the same room, which is what fewer and larger lengths at no more waste mean here.
+    Lengths are taken downwards. Where one length fills what is left exactly, every other way to fill that is dominated by
+    it. Of what is found, a filling that another one dominates is dropped (Martello and Toth's test). With enough steps, and
+    `most` as large, these are all undominated fillings. The filling at which the steps run out is completed by largest
+    lengths, so none leaves room that a length left would fit.
     """
     if not left.keys or left.keys[0] > room:
         return [[]]
     found: list[tuple[int, int, list[int]]] = []
     budget = steps
-    best_waste = room
 
     def completed(room: int, chosen: list[int]) -> tuple[int, list[int]]:
         out, used = list(chosen), Counter(chosen)
@@ -202,38 +221,35 @@ def fillings(left: _Lengths, room: int, steps: int = FILL_STEPS, most: int = BRA
         return room, out
 
     def go(room: int, top: int, chosen: list[int]) -> None:
-        nonlocal budget, best_waste
+        nonlocal budget
         budget -= 1
-        used = chosen.count
-        exact = left.counts.get(room, 0) - used(room) if room <= top else 0
-        if exact > 0:
+        used = Counter(chosen)
+        if room <= top and left.counts.get(room, 0) > used[room]:
             found.append((0, len(chosen) + 1, [*chosen, room]))
-            best_waste = 0
             return
         at = bisect.bisect_right(left.keys, min(room, top)) - 1
         none = True
         while at >= 0 and budget > 0:
             x = left.keys[at]
-            if left.counts[x] > used(x):
+            if left.counts[x] > used[x]:
                 none = False
                 go(room - x, x, [*chosen, x])
-                if best_waste == 0 and len(found) >= most:
-                    return
             at -= 1
-            if at >= 0 and len(chosen) >= 3 and best_waste <= 1:
-                return
-        if none and budget <= 0:
-            room, chosen = completed(room, chosen)
-        if none and room <= best_waste:
-            best_waste = min(best_waste, room)
-            found.append((room, len(chosen), chosen))
+        if none:
+            if budget <= 0:
+                room, chosen = completed(room, chosen)
+            if not any(x <= room and left.counts[x] > Counter(chosen)[x] for x in left.keys[: bisect.bisect_right(left.keys, room)]):
+                found.append((room, len(chosen), chosen))
 
     go(room, room, [])
     kept: list[list[int]] = []
     for _, _, f in sorted(found, key=lambda x: (x[0], x[1], [-v for v in x[2]])):
-        if f not in kept:
+        if len(kept) >= most:
+            break
+        if f not in kept and not any(dominates(k, f) for k in kept):
+            kept = [k for k in kept if not dominates(f, k)]
             kept.append(f)
-    return kept[:most] or [[]]
+    return kept or [[]]
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[tuple[list[int], int]]:
@@ -241,7 +257,8 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEA
 
     A depth-first search: the first branch of every node is the filling with least waste, so its first leaf is a
     best-fit packing and the first incumbent. A branch ends when its waste leaves no packing with fewer bins than the
-    incumbent. The search ends at the lower bound or after `nodes` nodes, with the best incumbent.
+    incumbent. The search ends at the lower bound or after `nodes` nodes, with the best incumbent: `lower_bound` says how far
+    from the least it can be at most.
     """
     left = _Lengths(counts)
     bound = lower_bound(counts, capacity)
@@ -351,5 +368,8 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def op1_pack(spark, sf_dir: str) -> DataFrame:
-    """Every document in as few sequences of at most 2048 ids as the search finds."""
+    """Every document in as few sequences of at most 2048 ids as the search finds.
+
+    A null or empty text is one piece of the id 0; repeated rows are packed each; an empty table gives no rows.
+    """
     return pack(token_pieces(table(spark, sf_dir, "documents"))).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

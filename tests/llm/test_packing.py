@@ -2,6 +2,7 @@ import itertools
 import random
 import zlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -88,3 +89,30 @@ def test_sequences_hold_the_ids(spark):
     for r in packed.collect():
         assert whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids) == t.text("some words here " * (r.doc_id % 7)) + b"\0\0\0\0"
     assert list(itertools.chain(whole))
+
+
+def feasible(counts, room):
+    """Every multiset of lengths that fits, by brute force."""
+    out = [()]
+    for x, n in sorted(counts.items(), reverse=True):
+        out = [(*f, *[x] * k) for f in out for k in range(n + 1) if sum(f) + k * x <= room]
+    return [sorted(f, reverse=True) for f in out if f]
+
+
+def into(a, b):
+    """Whether b's lengths can be dealt to a's, by trying all ways."""
+    return any(all(sum(x for x, to in zip(b, way) if to == k) <= a[k] for k in range(len(a))) for way in itertools.product(range(len(a)), repeat=len(b)))
+
+
+@pytest.mark.parametrize("counts, room", [({9: 1, 8: 1, 5: 2, 4: 2, 3: 3, 2: 3}, 11), ({10: 1, 6: 1, 5: 1, 4: 1, 3: 1, 2: 1, 1: 1}, 9), ({7: 2, 3: 2, 2: 1}, 12), ({5: 1}, 4)])
+def test_fillings_are_those_that_nothing_dominates(counts, room):
+    every = feasible(counts, room)
+    # What nothing else dominates; of fillings that dominate each other (equal ones only) one.
+    want = [f for f in every if not any(g != f and into(g, f) for g in every)]
+    got = packing.fillings(packing._Lengths(counts), room, 10**6, 10**6)
+    assert sorted(got) == sorted(want or [[]])
+
+
+def test_dominance():
+    assert packing.dominates([9, 2], [5, 4, 2]) and packing.dominates([9, 2], [3, 3, 3, 2]) and not packing.dominates([5, 4, 2], [9, 2])
+    assert not packing.dominates([6, 3], [5, 4]) and packing.dominates([4], [4])
