@@ -81,12 +81,13 @@ def decimal_text(c: Column) -> Column:
 
 
 def wilson(successes: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
-    """Lower and upper bound of Wilson's interval; null for n = 0."""
+    """Lower and upper bound of Wilson's interval; 0 and 1 for n = 0."""
     total = F.nullif(n.cast("double"), F.lit(0.0))
     p = successes / total
     middle, wide = p + z * z / (2 * total), z * F.sqrt(p * (1 - p) / total + z * z / (4 * total * total))
     below = 1 + z * z / total
-    return F.greatest(F.lit(0.0), (middle - wide) / below), F.least(F.lit(1.0), (middle + wide) / below)
+    low, high = F.greatest(F.lit(0.0), (middle - wide) / below), F.least(F.lit(1.0), (middle + wide) / below)
+    return F.when(n == 0, 0.0).otherwise(low), F.when(n == 0, 1.0).otherwise(high)
 
 
 def slug(c: Column) -> Column:

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows up to which the smaller side of an interval join is broadcast.
-BROADCAST_ROWS = 200_000
-
+from leafwork.operators.ranking import rank_all
 
 def as_of(left: DataFrame, right: DataFrame, by: list[str], key: str, take: Sequence[str], backward: bool = True, tie: Sequence[str] = ()) -> DataFrame:
     """`left` with `take` of the nearest row of `right` in the same group: the last with a smaller key, or, forward, the
@@ -29,34 +27,34 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], key: str, take: Sequ
 
 
 def interval_join(points: DataFrame, ranges: DataFrame, by: list[str], at: str, start: str, end: str, how: str = "inner", width: int | None = None) -> DataFrame:
-    """Points in the ranges of their group, all matches; a range without start and end is the whole group.
+    """Points in the ranges of their group, all matches; a range without start and end is the whole group. `how` is inner,
+    or left: then points in no range stay, with nulls.
 
-    A small set of ranges is broadcast. Otherwise points and ranges meet by bucket of `width`, which must then be given.
+    With `width`, points and ranges meet by bucket of that width, for groups with many ranges; without, by group. Spark
+    broadcasts the ranges if they are small enough.
     """
-    hit = F.col("r._start").isNull() | F.col(f"p.{at}").between(F.col("r._start"), F.col("r._end"))
-    r = ranges.withColumnRenamed(start, "_start").withColumnRenamed(end, "_end")
-    r = r.select(*[F.col(c).alias(f"_by_{c}") if c in by else F.col(c) for c in r.columns])
-    if width is None or r.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        same = [F.col(f"p.{c}") == F.col(f"r._by_{c}") for c in by]
-        cond = hit
-        for s in same:
-            cond = s & cond
-        return points.alias("p").join(F.broadcast(r).alias("r"), cond, how).drop(*[f"_by_{c}" for c in by])
-    whole = r.filter("_start is null")
-    spread = r.filter("_start is not null").withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_start") / width), F.floor(F.col("_end") / width))))
-    p = points.withColumn("_bucket", F.floor(F.col(at) / width))
-    same = [F.col(f"p.{c}") == F.col(f"r._by_{c}") for c in by]
-    cond = hit & (F.col("p._bucket") == F.col("r._bucket"))
-    for s in same:
-        cond = s & cond
-    inner = p.alias("p").join(spread.alias("r"), cond).drop("_bucket", *[f"_by_{c}" for c in by])
-    every = points.alias("p").join(whole.alias("r"), [F.col(f"p.{c}") == F.col(f"r._by_{c}") for c in by]).drop(*[f"_by_{c}" for c in by])
-    return inner.unionByName(every)
+    if how not in ("inner", "left"):
+        raise ValueError(f"how is inner or left, not {how}")
+    r = ranges.withColumnRenamed(start, "_start").withColumnRenamed(end, "_end").withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = [F.col(c) == F.col(f"_by_{c}") for c in by]
+    inside = F.col("_start").isNull() | F.col(at).between(F.col("_start"), F.col("_end"))
+    ours = [f"_by_{c}" for c in by]
+    if width is None:
+        found = points.join(r, [*same, inside]).drop(*ours)
+    else:
+        spread = r.filter("_start is not null").withColumn("_rb", F.explode(F.sequence(F.floor(F.col("_start") / width), F.floor(F.col("_end") / width))))
+        near = points.withColumn("_pb", F.floor(F.col(at) / width)).join(spread, [*same, F.col("_pb") == F.col("_rb"), inside]).drop("_pb", "_rb", *ours)
+        found = near.unionByName(points.join(r.filter("_start is null"), same).drop(*ours))
+    if how == "left":  # whether a point has a match depends on its group and place alone
+        hit = found.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col(at).alias("_at")).distinct()
+        found = found.unionByName(points.join(hit, [*same, F.col(at) == F.col("_at")], "left_anti"), allowMissingColumns=True)
+    return found
 
 
 def overlay(df: DataFrame, changes: DataFrame, key: str, fields: Sequence[str], field: str = "field", old: str = "old", new: str = "new") -> DataFrame:
-    """`df` with the replacement of each (key, field) in `changes` whose old value still stands. All values are text."""
-    wide = changes.groupBy(key).pivot(field, list(fields)).agg(F.first(F.struct(old, new)))
+    """`df` with the replacement of each (key, field) in `changes` whose old value still stands; others are left out, which
+    corrections.apply_corrections refuses to do. Of several for one field the greatest counts. All values are text."""
+    wide = changes.groupBy(key).pivot(field, list(fields)).agg(F.max(F.struct(old, new)))
     joined = df.join(wide.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_{f}") for f in fields]), F.col(key) == F.col("_key"), "left")
     pick = {f: F.when(F.col(f"_{f}.{old}").eqNullSafe(F.col(f)) & F.col(f"_{f}").isNotNull(), F.col(f"_{f}.{new}")).otherwise(F.col(f)) for f in fields}
     return joined.select(*[pick.get(c, F.col(c)).alias(c) for c in df.columns])
@@ -72,12 +70,13 @@ def differences(before: DataFrame, after: DataFrame, key: str, fields: Sequence[
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, order: str) -> DataFrame:
     """Rows of `base`, updated where `updates` has their key, and after them its new keys, numbered on from the greatest
-    `order`. Existing rows keep their order; new ones are numbered within buckets of their key's order."""
+    `order`. Existing rows keep their order; new ones are numbered in the order of their keys, without a one-task window."""
     values = [c for c in base.columns if c not in (key, order)]
     u = updates.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in values])
     kept = base.join(u, F.col(key) == F.col("_k"), "left").select(*[F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c in values else F.col(c) for c in base.columns])
     last = base.agg(F.coalesce(F.max(order), F.lit(0))).first()[0]
-    fresh = updates.join(base.select(key), key, "left_anti").withColumn(order, (F.row_number().over(Window.orderBy(key)) + last).cast(dict(base.dtypes)[order]))
+    fresh = rank_all(updates.join(base.select(key), key, "left_anti"), [F.col(key)], "_new")
+    fresh = fresh.withColumn(order, (F.col("_new") + last).cast(dict(base.dtypes)[order])).drop("_new")
     return kept.unionByName(fresh.select(*base.columns))
 
 
@@ -99,21 +98,3 @@ def identity_drift(left: DataFrame, right: DataFrame, key: str, fields: Sequence
         same = same & F.col(f).eqNullSafe(F.col(f"_{f}"))
     status = F.when(F.col(key).isNull(), "unknown").when(F.col("_k").isNull(), "missing").when(~same, "drift")
     return rows.select(F.coalesce(F.col(key), F.col("_k")).alias(key), status.alias("status")).filter("status is not null")
-
-
-def adjudicate(flags: DataFrame, decisions: DataFrame) -> DataFrame:
-    """flags (case_id, evidence_hash, severity) with their decision: reviewed if the hash is current and the disposition
-    has what it needs, else stale or open."""
-    d = decisions.select(F.col("case_id").alias("_case"), F.col("evidence_hash").alias("_hash"), "disposition", "reason", "evidence_page")
-    rows = flags.join(d, F.col("case_id") == F.col("_case"), "left")
-    # The dispositions that need an evidence page.
-    needs_page = F.col("disposition").isin("corrected", "resolved", "excluded", "source_verified")
-    bad = (F.col("_hash") != F.col("evidence_hash")) | F.coalesce(F.col("reason") == "", F.lit(True)) | (needs_page & F.coalesce(F.col("evidence_page") == "", F.lit(True)))
-    state = F.when(F.col("_case").isNull() | (F.col("disposition") == "open"), "open").when(bad, "stale").otherwise("reviewed")
-    return rows.withColumn("review", state).drop("_case", "_hash")
-
-
-def release_status(adjudicated: DataFrame) -> DataFrame:
-    """One row: fail if a blocking flag is not reviewed, else pass, with the number of those flags."""
-    n = F.count_if((F.col("severity") == "blocking") & (F.col("review") != "reviewed"))
-    return adjudicated.agg(n.alias("open_blocking")).withColumn("status", F.when(F.col("open_blocking") == 0, "pass").otherwise("fail"))

@@ -12,16 +12,13 @@ from leafwork.functions.exprs import wilson
 def rollup(signals: DataFrame, unit: str) -> DataFrame:
     """By unit the counts over its signals (rule, family, tier, entity, magnitude, localized). Localized signals of tier
     3 or less count; without any, the localized ones; without these, all."""
-    t = F.when(F.col("localized") & (F.col("tier") <= 3), 1).when(F.col("localized"), 2).otherwise(3)
-    best = signals.withColumn("_grade", t)
-    # Distinct counts by grade in one pass: the grade of the unit decides which of them is read.
-    aggs = [F.min("_grade").alias("_best"), F.count("*").alias("n_signals")]
-    for g in (1, 2, 3):
-        here = F.col("_grade") <= g
-        aggs += [F.countDistinct(F.when(here, F.col("rule"))).alias(f"_rules{g}"), F.countDistinct(F.when(here, F.col("family"))).alias(f"_families{g}"), F.countDistinct(F.when(here, F.col("entity"))).alias(f"_entities{g}"), F.min(F.when(here, F.col("tier"))).alias(f"_tier{g}"), F.max(F.when(here, F.col("magnitude"))).alias(f"_magnitude{g}")]
-    rows = best.groupBy(unit).agg(*aggs)
-    pick = lambda name: F.when(F.col("_best") == 1, F.col(f"_{name}1")).when(F.col("_best") == 2, F.col(f"_{name}2")).otherwise(F.col(f"_{name}3"))
-    return rows.select(unit, "n_signals", *[pick(n).alias(n) for n in ("rules", "families", "entities", "tier", "magnitude")])
+    grade = F.when(F.col("localized") & (F.col("tier") <= 3), 1).when(F.col("localized"), 2).otherwise(3)
+    # The unit's best grade first, so distinct counts are taken once; window and groups share one exchange.
+    w = Window.partitionBy(unit)
+    rows = signals.withColumn("_grade", grade).select("*", F.min("_grade").over(w).alias("_best"), F.count("*").over(w).alias("_all"))
+    here = F.col("_grade") <= F.col("_best")
+    distinct = [F.countDistinct(F.when(here, F.col(c))).alias(n) for c, n in (("rule", "rules"), ("family", "families"), ("entity", "entities"))]
+    return rows.groupBy(unit).agg(F.first("_all").alias("n_signals"), *distinct, F.min(F.when(here, F.col("tier"))).alias("tier"), F.max(F.when(here, F.col("magnitude"))).alias("magnitude"))
 
 
 def priority(rolled: DataFrame, unit: str) -> DataFrame:
@@ -59,41 +56,3 @@ def capped(ranked: DataFrame, rank: str, qualifies: Column, limit: int) -> DataF
     """`ranked` with selected: the first `limit` qualifying rows by rank. Rows beyond the cap's rank need no running count."""
     last = ranked.filter(qualifies).orderBy(rank).limit(limit).agg(F.max(rank)).first()[0]
     return ranked.withColumn("selected", qualifies & (F.col(rank) <= F.lit(last if last is not None else -1)))
-
-
-def round_robin(df: DataFrame, category: str, unit: str, order: str, take: int) -> list[tuple[str, str]]:
-    """(category, unit): categories in turn give their next unit that no other has given, until `take` are drawn. Only
-    the first `take` times the categories of each queue are read, which suffices however the queues overlap."""
-    n = df.select(category).distinct().count()
-    w = Window.partitionBy(category).orderBy(order, unit)
-    queues: dict[str, list[str]] = {}
-    for r in df.select(category, unit, F.row_number().over(w).alias("_n")).filter(F.col("_n") <= take * max(1, n)).orderBy(category, "_n").collect():
-        queues.setdefault(r[0], []).append(r[1])
-    out: list[tuple[str, str]] = []
-    drawn: set[str] = set()
-    while len(out) < take and any(queues.values()):
-        for name in sorted(queues):
-            while queues[name] and queues[name][0] in drawn:
-                queues[name].pop(0)
-            if queues[name] and len(out) < take:
-                drawn.add(queues[name][0])
-                out.append((name, queues[name].pop(0)))
-    return out
-
-
-def matched_controls(candidates: DataFrame, controls: DataFrame, unit: str, group: str, size: str, n: int) -> list[tuple[str, str]]:
-    """(candidate, control): the first n candidates in order each take the nearest control left in their group. By
-    candidate only the n nearest matter, since at most n - 1 can be taken; they are scored in Spark, by group."""
-    some = candidates.orderBy(unit).limit(n).select(F.col(unit).alias("_a"), F.col(group).alias("_g"), F.col(size).alias("_s"))
-    pairs = controls.join(F.broadcast(some), F.col(group) == F.col("_g")).select("_a", unit, F.abs(F.col(size) - F.col("_s")).alias("_d"))
-    near = pairs.withColumn("_n", F.row_number().over(Window.partitionBy("_a").orderBy("_d", unit))).filter(F.col("_n") <= n)
-    out, used = [], set()
-    nearest: dict[str, list[str]] = {}
-    for r in near.orderBy("_a", "_n").collect():
-        nearest.setdefault(r["_a"], []).append(r[unit])
-    for a in sorted(nearest):
-        found = next((c for c in nearest[a] if c not in used), None)
-        if found is not None:
-            used.add(found)
-            out.append((a, found))
-    return out

@@ -246,18 +246,6 @@ def evidence_hash(spark, sf):
     return ranking.evidence_hash(signals(spark, sf).withColumn("h", F.sha2(F.concat_ws(":", "rule", "entity"), 256)), ["unit"], "h")
 
 
-@query()
-def round_robin_sample(spark, sf):
-    rows = t(spark, sf, "documents").select("lang", "source", F.md5(F.col("source")).alias("h")).distinct()
-    return spark.createDataFrame(ranking.round_robin(rows, "lang", "source", "h", 12), "category string, unit string")
-
-
-@query()
-def matched_controls(spark, sf):
-    p = t(spark, sf, "part")
-    return spark.createDataFrame(ranking.matched_controls(p.filter("p_size = 50"), p.filter("p_size < 50"), "p_partkey", "p_brand", "p_retailprice", 50), "candidate long, control long")
-
-
 @query("select o_orderkey, case when o_orderkey % 3 = 0 then 'X' when o_orderkey % 5 = 0 then o_orderstatus else o_orderstatus end as o_orderstatus, o_orderpriority from orders")
 def apply_overlay(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
@@ -275,37 +263,17 @@ def ledger_diff(spark, sf):
     return joins.differences(o.filter("k % 4 <> 0"), o.filter("k % 5 <> 0").withColumn("status", F.expr("if(k % 3 = 0, 'X', status)")), "k", ["status", "priority"])
 
 
-_FLAGS = """f as (select o_orderkey, 'qc-' || o_orderkey as case_id, sha256(cast(o_orderkey as varchar)) as evidence_hash, case when o_orderkey % 2 = 0 then 'blocking' else 'advisory' end as severity from orders where o_totalprice > 250000),
-d as (select case_id, case when o_orderkey % 3 = 0 then 'old' else evidence_hash end as h, case when o_orderkey % 5 = 0 then 'open' when o_orderkey % 7 = 0 then 'corrected' else 'accepted' end as disposition from f where o_orderkey % 4 <> 1)"""
-
-
-def _flags(spark, sf):
-    f = t(spark, sf, "orders").filter("o_totalprice > 250000").select("o_orderkey", F.concat(F.lit("qc-"), "o_orderkey").alias("case_id"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("evidence_hash"), F.expr("if(o_orderkey % 2 = 0, 'blocking', 'advisory')").alias("severity"))
-    d = f.filter("o_orderkey % 4 <> 1").selectExpr("case_id", "if(o_orderkey % 3 = 0, 'old', evidence_hash) as evidence_hash", "case when o_orderkey % 5 = 0 then 'open' when o_orderkey % 7 = 0 then 'corrected' else 'accepted' end as disposition", "'checked' as reason", "'' as evidence_page")
-    return f, d
-
-
-@query(f"with {_FLAGS} select f.case_id, severity, case when d.case_id is null or disposition = 'open' then 'open' when h <> evidence_hash or disposition = 'corrected' then 'stale' else 'reviewed' end as review from f left join d using (case_id)")
-def adjudicate(spark, sf):
-    return joins.adjudicate(*_flags(spark, sf)).select("case_id", "severity", "review")
-
-
-@query(f"with {_FLAGS}, a as (select severity, case when d.case_id is null or disposition = 'open' then 'open' when h <> evidence_hash or disposition = 'corrected' then 'stale' else 'reviewed' end as review from f left join d using (case_id)) select count(*) filter (severity = 'blocking' and review <> 'reviewed') as open_blocking, case when count(*) filter (severity = 'blocking' and review <> 'reviewed') = 0 then 'pass' else 'fail' end as status from a")
-def release_gate(spark, sf):
-    return joins.release_status(joins.adjudicate(*_flags(spark, sf)))
-
-
 @query("select o_orderkey, o_custkey from orders where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal > 0)")
 def orphans(spark, sf):
     return gates.orphans(t(spark, sf, "orders"), "o_custkey", t(spark, sf, "customer").filter("c_acctbal > 0"), "c_custkey").select("o_orderkey", "o_custkey")
 
 
-@query("""select c_custkey, coalesce(case when c_custkey % 10 = 0 then 'page' end, case when c_nationkey < 5 then 'source' end, 'unreviewed') as decision from customer""")
+@query("""select c_custkey, coalesce(case when c_custkey % 10 = 0 then 'page' end, case when c_nationkey < 5 then 'source' end, 'unreviewed') as decision, case when c_custkey % 10 = 0 then 'c_custkey' when c_nationkey < 5 then 'c_nationkey' else 'default' end as decided_by from customer""")
 def override_precedence(spark, sf):
     c = t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     pages = c.filter("c_custkey % 10 = 0").selectExpr("c_custkey", "'page' as d")
     sources = t(spark, sf, "nation").filter("n_nationkey < 5").selectExpr("n_nationkey as c_nationkey", "'source' as d")
-    return joins.prefer(c, [(pages, "c_custkey", "d"), (sources, "c_nationkey", "d")], "unreviewed").select("c_custkey", "decision")
+    return joins.prefer(c, [(pages, "c_custkey", "d"), (sources, "c_nationkey", "d")], "unreviewed").select("c_custkey", "decision", "decided_by")
 
 
 @query("""with l as (select c_custkey as k, c_name as a, c_nationkey as b from customer where c_custkey % 3 <> 0), r as (select c_custkey as k, c_name as a, case when c_custkey % 7 = 0 then -1 else c_nationkey end as b from customer where c_custkey % 4 <> 0)
@@ -330,11 +298,6 @@ def flatten_conversations(spark, sf):
     return nested.flatten(c, ["conv_id"], "turns").select("conv_id", "record_index", "turn", "role", F.length("text").alias("n"))
 
 
-@query("select vec_id, label, i - 1 as pos, round(cast(embedding[i] as double), 6) as x from embeddings, unnest(range(1, len(embedding) + 1)) as u(i) where i <= 4")
-def embedding_explode(spark, sf):
-    return t(spark, sf, "embeddings").select("vec_id", "label", F.posexplode(F.slice("embedding", 1, 4)).alias("pos", "v")).select("vec_id", "label", F.col("pos").cast("long").alias("pos"), F.round(F.col("v").cast("double"), 6).alias("x"))
-
-
 def components(vectors: DataFrame) -> DataFrame:
     """Every component of every vector with its 1-based index; a null or empty vector keeps one row, with nulls."""
     rows = nested.flatten(vectors.withColumn("embedding", F.transform("embedding", lambda v: F.struct(F.round(v.cast("double"), 6).alias("x")))), ["vec_id", "label"], "embedding")
@@ -403,9 +366,9 @@ def release_accounting(spark, sf):
     return one("page", p, F.count("*")).unionByName(one("flags", p, F.sum("n"))).unionByName(one("customers", t(spark, sf, "customer"), F.count("*"))).unionByName(one("orders", t(spark, sf, "orders"), F.count("*")))
 
 
-@query("select l_orderkey, 'gap' as issue from lineitem group by 1 having min(l_linenumber) <> 1 or max(l_linenumber) <> count(*) or count(distinct l_linenumber) <> count(*)")
+@query("select l_orderkey, min(l_linenumber) as lo, max(l_linenumber) as hi, count(*) as n, count(distinct l_linenumber) as d from lineitem group by 1 having min(l_linenumber) <> 1 or max(l_linenumber) <> count(*) or count(distinct l_linenumber) <> count(*)")
 def contiguity(spark, sf):
-    return gates.not_contiguous(t(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber").select("l_orderkey", F.lit("gap").alias("issue"))
+    return gates.not_contiguous(t(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber")
 
 
 @query("select l_partkey from lineitem group by 1 having count(distinct l_returnflag || l_linestatus) > 1")
@@ -413,10 +376,10 @@ def functional_dependency(spark, sf):
     return gates.not_functional(t(spark, sf, "lineitem"), ["l_partkey"], ["l_returnflag", "l_linestatus"])
 
 
-@query("""select cast(p_partkey as varchar) as record, 'out_of_bounds' as check, 'p_retailprice' as field, p_partkey % 2 = p_partkey % 2 as ok from part where p_retailprice < 1000 or p_retailprice > 1500""")
+@query("""select cast(p_partkey as varchar) as record, 'out_of_bounds' as check, 'p_retailprice' as field, cast(cast(p_retailprice as decimal(18,2)) as varchar) as observed from part where p_retailprice < 1000 or p_retailprice > 1500""")
 def bounds_flags(spark, sf):
-    p = t(spark, sf, "part").select("p_partkey", F.format_string("%.2f", "p_retailprice").alias("p_retailprice"))
-    return gates.row_flags(p, "p_partkey", ["p_partkey"], [], {"p_retailprice": (1000, 1500)}).select("record", "check", "field", F.lit(True).alias("ok"))
+    p = t(spark, sf, "part").select("p_partkey", money("p_retailprice").cast("string").alias("p_retailprice"))
+    return gates.row_flags(p, "p_partkey", ["p_partkey"], [], {"p_retailprice": (1000, 1500)})
 
 
 @query("""with m as (select 2 * (year(o_orderdate) - 1990) + (case when month(o_orderdate) <= 6 then 1 else 2 end) as w, count(*) as n from orders group by 1)
@@ -432,12 +395,28 @@ def entity_ids(spark, sf):
     return t(spark, sf, "customer").select(exprs.entity_id(F.col("c_name"), F.col("c_mktsegment")).alias("entity"), "c_custkey")
 
 
-@query("""with s as (select conv_id, turn // 2 as seg, turn, role from conversations union all select conv_id, turn // 2 - 1, turn, role from conversations where turn % 2 = 0 and turn > 0)
-select conv_id, turn, min(role) as role from s group by 1, 2 having count(distinct role) = 1""")
-def segment_merge(spark, sf):
+_SEGMENTS = """s as (select conv_id, turn // 2 as seg, turn, case when turn % 8 = 0 and conv_id % 5 = 0 then 'other' else role end as role from conversations union all select conv_id, turn // 2 - 1, turn, role from conversations where turn % 2 = 0 and turn > 0 and not (conv_id % 7 = 0 and turn % 4 = 0)),
+g as (select conv_id, turn, min(role) as role, min(role) <> max(role) as differ from s group by 1, 2)"""
+
+
+def _segments(spark, sf):
     c = t(spark, sf, "conversations").selectExpr("conv_id", "turn div 2 as seg", "turn", "role")
-    again = c.filter("turn % 2 = 0 and turn > 0").withColumn("seg", F.col("seg") - 1)
-    return nested.merge_segments(c.unionByName(again), "conv_id", "seg", "turn", "role")[0]
+    again = c.filter("turn % 2 = 0 and turn > 0 and not (conv_id % 7 = 0 and turn % 4 = 0)").withColumn("seg", F.col("seg") - 1)
+    own = c.withColumn("role", F.expr("if(turn % 8 = 0 and conv_id % 5 = 0, 'other', role)"))
+    return nested.merge_segments(own.unionByName(again), "conv_id", "seg", "turn", "role")
+
+
+@query(f"with {_SEGMENTS} select conv_id, turn, role from g where not differ")
+def segment_merge(spark, sf):
+    return _segments(spark, sf)[0]
+
+
+@query(f"""with {_SEGMENTS}, e as (select conv_id, min(seg) as a, max(seg) as b from s group by 1), p as (select conv_id, unnest(range(a, b)) as k from e),
+h as (select distinct x.conv_id, x.seg from s x join s y on x.conv_id = y.conv_id and y.seg = x.seg + 1 and x.turn = y.turn)
+select conv_id, 'overlap_disagreement' as conflict, cast(turn as varchar) as detail from g where differ
+union all select p.conv_id, 'no_shared_anchor', cast(k as varchar) from p where not exists (select 1 from h where h.conv_id = p.conv_id and h.seg = p.k)""")
+def segment_conflicts(spark, sf):
+    return _segments(spark, sf)[1]
 
 
 @query("select distinct o_custkey from orders where o_totalprice > 200000 intersect select c_custkey from customer where c_acctbal > 5000")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from leafwork.plans import audit  # noqa: F401  (registers its queries)
 from leafwork.plans.queries import ORACLES, QUERIES
 
 FLAGSHIP = QUERIES["isolated_reversal"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from leafwork.operators.gates import Violation
+from leafwork.operators.gates import Violation, require_empty
 
 
 def read_tsv(spark: SparkSession, path: str, fields: Sequence[str], exact: bool = True) -> DataFrame:
@@ -57,10 +57,25 @@ def tree_summary(tree: DataFrame) -> DataFrame:
 
 
 def html_catalog(pages: DataFrame, html: str, variable: str, schema: str) -> DataFrame:
-    """The items of a JSON list assigned to a variable in a page's script, with their 1-based place."""
-    body = F.regexp_extract(html, rf"{variable}\s*=\s*(\[[\s\S]*?\])\s*;", 1)
-    items = pages.select(*[c for c in pages.columns if c != html], F.posexplode(F.from_json(body, f"array<struct<{schema}>>")).alias("_at", "_item"))
-    return items.select(*[c for c in pages.columns if c != html], (F.col("_at") + 1).alias("position"), "_item.*")
+    """The items of a JSON value assigned to a variable in a page's script, with their 1-based place: a list, an object whose
+    `items` is the list, or an object of items by id, taken in the order of their ids. An id twice in a page is a violation
+    if the schema has one."""
+    own = [c for c in pages.columns if c != html]
+    body = F.regexp_extract(html, rf"{variable}\s*=\s*([\[{{][\s\S]*?[\]}}])\s*;", 1)
+    listed = F.from_json(body, f"array<struct<{schema}>>")
+    inner = F.from_json(F.get_json_object(body, "$.items"), f"array<struct<{schema}>>")
+    by_id = F.map_values(F.from_json(body, f"map<string, struct<{schema}>>"))
+    has = F.get_json_object(body, "$.items").isNotNull()
+    some = F.when(body.startswith("["), listed).when(has, inner).otherwise(by_id)
+    rows = pages.select(*own, F.posexplode(some).alias("_at", "_item")).select(*own, (F.col("_at") + 1).alias("position"), "_item.*")
+    if "id" in rows.columns and "id" not in own:
+        require_empty("an id is repeated", rows.groupBy(*own, "id").agg(F.count("*").alias("n")).filter("n > 1"))
+    return rows
+
+
+def partial_files(tree: DataFrame, pattern: str = r"\.(part|tmp|crdownload)$") -> DataFrame:
+    """Files of a tree that a download has not finished."""
+    return tree.filter(F.col("path").rlike(pattern))
 
 
 def xml_fields(df: DataFrame, xml: str, paths: dict[str, str]) -> DataFrame:

@@ -13,15 +13,21 @@ from pyspark.sql import functions as F
 from leafwork.operators.gates import Violation
 
 
-def write_tsv(df: DataFrame, path: str, order: list[Column], single: bool = False) -> None:
-    """A tab-separated table in total order; nested cells as JSON. With `single` one file, for small reports."""
+def write_tsv(df: DataFrame, path: str, order: list[Column], single: bool = False, fields: list[str] | None = None) -> None:
+    """A tab-separated table in total order; nested cells as JSON. With `single` one file, for small reports. With `fields`
+    just these columns in this order: one that is missing, or not among them, is a violation."""
+    if fields is not None:
+        if set(fields) != set(df.columns):
+            raise Violation(f"columns are {df.columns}, not {fields}")
+        df = df.select(*fields)
     flat = df.select(*[F.to_json(c, {"ignoreNullFields": "false"}).alias(c) if t.startswith(("struct", "array", "map")) else F.col(c) for c, t in df.dtypes])
     rows = flat.orderBy(*order)
     (rows.coalesce(1) if single else rows).write.mode("overwrite").csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", nullValue="", lineSep="\n")
 
 
 def write_jsonl(df: DataFrame, path: str, order: list[Column]) -> None:
-    df.orderBy(*order).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """An object a line in total order, with keys in name order and nulls shown."""
+    df.orderBy(*order).select(*sorted(df.columns)).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def append_immutable(new: DataFrame, store: str, key: str, content: str) -> int:
