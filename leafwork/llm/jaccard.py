@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import discard, materialize, table
+from leafwork.llm.common import discard, materialize, rows_whole, table
 
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
@@ -468,12 +468,13 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80) -> DataFrame:
     def small(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    same = (docs["doc_id"].cast("long") == F.col("_d")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_t"))
-    kept = docs.join(small(gone), same, "left_anti")
-    if again.isEmpty():
-        return kept
-    repeated = docs.join(small(gone), same, "left_anti").join(small(again), same, "left_semi")
-    return kept.join(small(again), same, "left_anti").unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    whole = rows_whole(docs, F.col("doc_id").cast("long").alias("_doc"), text_hash().alias("_hash"))
+    same = F.expr("_doc = _d and _hash = _t")
+    kept = whole.join(small(gone), same, "left_anti")
+    if not again.isEmpty():
+        repeated = kept.join(small(again), same, "left_semi").dropDuplicates(["_doc", "_hash"])
+        kept = kept.join(small(again), same, "left_anti").unionByName(repeated)
+    return kept.select("_row.*")
 
 
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:
