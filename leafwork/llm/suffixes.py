@@ -243,7 +243,8 @@ def _counted(rows: DataFrame, length: int) -> DataFrame:
 def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, uid, spans: array<struct<a: long, b: long>> of bytes covered by repeated strings; spans may overlap."""
     found = materialize(runs(docs, length), "runs")
-    twice = found.groupBy("core").agg(F.count("*").alias("_n")).filter("_n > 1").select("core")
+    # Stored, so that the join below reads plain exchanges on both sides and Spark can split a frequent core's rows.
+    twice = materialize(found.groupBy("core").agg(F.count("*").alias("_n")).filter("_n > 1").select("core"), "twice")
     rows = materialize(found.join(twice, "core", "left_semi"), "contested")
     contexts = materialize(rows.groupBy("core", "full").agg(F.count("*").alias("n"), F.min(F.struct("doc", "uid", "lo", "least", "most")).alias("at")).select("core", "full", "n", "at.*"), "contexts")
     mixed = materialize(contexts.groupBy("core").agg(F.count("*").alias("_m"), F.min("n").alias("_least")).filter("_m > 1 and _least = 1").select(F.col("core").alias("_core"), "_m"), "mixed")
