@@ -127,3 +127,8 @@ def sort_key(*parts: Column) -> Column:
 def file_name(url: Column) -> Column:
     """The last path segment of a URL, percent-decoded; without query and fragment."""
     return F.url_decode(F.element_at(F.split(F.coalesce(F.parse_url(url, F.lit("PATH")), F.lit("")), "/"), -1))
+
+
+def cap(n: Column, share: float, most: int) -> Column:
+    """How many of `n` a share allows, at most `most`."""
+    return F.least(F.floor(n * F.lit(share).cast("decimal(18,9)")).cast("long"), F.lit(most).cast("long"))

@@ -18,6 +18,18 @@ def require_empty(name: str, rows: DataFrame, show: int = 3) -> None:
         raise Violation(f"{name}: {[r.asDict() for r in found]}")
 
 
+def enforce(requests: int, workers: int, most_requests: int, most_workers: int, ramp: dict | None = None, review_age_hours: float | None = None, oldest_hours: float = 24) -> None:
+    """A live run's limits: requests and workers, a ramp of trial requests without a failure, and a cost review that is recent."""
+    wrong = [
+        (not 0 < requests <= most_requests, f"{requests} requests, {most_requests} allowed"),
+        (not 0 < workers <= most_workers, f"{workers} workers, {most_workers} allowed"),
+        (ramp is not None and (not ramp.get("requests") or ramp.get("failed", 0) > 0), "the ramp has not succeeded"),
+        (review_age_hours is None or not 0 <= review_age_hours <= oldest_hours, "the cost review is missing or old"),
+    ]
+    if told := [text for bad, text in wrong if bad]:
+        raise Violation("; ".join(told))
+
+
 def columns(df: DataFrame, required: list[str], exact: bool = False) -> None:
     if exact and df.columns != list(required):
         raise Violation(f"columns are {df.columns}, not {list(required)}")

@@ -163,6 +163,29 @@ def artifact_counts(mapped: DataFrame) -> DataFrame:
     return rows.join(models, F.col("group") == F.col("_g"), "left").join(twice, F.col("group") == F.col("_h"), "left").drop("_g", "_h").withColumn("collisions", F.coalesce("collisions", F.lit(0)))
 
 
+def audit(sources: DataFrame, mapped: DataFrame, before: DataFrame, after: DataFrame, partial: DataFrame, expected_pages: int) -> DataFrame:
+    """One row of gates over a recovered cache, and `passed` if all hold: every source has a status that may be used (see
+    acquired), every artifact is JSON and mapped, no page has several, all pages are there, the tree stood still between
+    two summaries (see sources.readers.tree_summary), and no file is partial."""
+    one = F.lit(1).alias("_one")
+    twice = mapped.filter("page_id is not null").groupBy("page_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("pages"), F.count_if(F.col("n") > 1).alias("twice"))
+    parts = [
+        sources.agg(F.coalesce(F.bool_and("usable"), F.lit(False)).alias("sources_usable"), one),
+        mapped.agg((F.count_if(F.col("kind") != "json") == 0).alias("no_errors"), (F.count_if(F.col("page_id").isNull()) == 0).alias("all_mapped"), one),
+        twice.select((F.col("twice") == 0).alias("no_collisions"), (F.col("pages") == expected_pages).alias("pages_complete"), one),
+        before.select("signature").exceptAll(after.select("signature")).agg((F.count("*") == 0).alias("tree_is_quiet"), one),
+        partial.agg((F.count("*") == 0).alias("no_partial_files"), one),
+    ]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.join(F.broadcast(p), "_one")  # a row each
+    gates = [c for c in rows.columns if c != "_one"]
+    every = F.lit(True)
+    for g in gates:
+        every = every & F.col(g)
+    return rows.select(*gates, every.alias("passed"))
+
+
 def first_matching(files: DataFrame, wanted: DataFrame, key: str, digest: str) -> DataFrame:
     """For each wanted (key, digest) the file (key, rank of its root, path, digest) with that digest in the first root that
     has one; null path if none has."""

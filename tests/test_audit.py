@@ -336,3 +336,26 @@ def test_log_and_jsonl(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text("[1]\nnope\n")
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         readers.read_jsonl(spark, str(tmp_path / "bad.jsonl"), "id string, n int").collect()
+
+
+def test_audit_of_a_cache(spark):
+    sources = spark.createDataFrame([("a", None, False, "x", "x")], "source string, error string, manual boolean, found_sha256 string, expected_sha256 string")
+    mapping = spark.createDataFrame([("g", 1, "g-1")], "group string, page int, page_id string")
+    art = lambda *rows: records.mapped_artifacts(spark.createDataFrame(list(rows), "group string, page int, file string, body string"), mapping)
+    tree = spark.createDataFrame([("s1",)], "signature string")
+    none = tree.limit(0)
+    ok = records.audit(records.acquired(sources), art(("g", 1, "f", "{}")), tree, tree, none, 1).first().asDict()
+    assert all(ok.values()) and len(ok) == 8
+    bad = records.audit(records.acquired(sources.withColumn("found_sha256", F.lit("y"))), art(("g", 1, "f", "{}"), ("g", 1, "f2", "oops"), ("g", 2, "f3", "{}")), tree, tree.withColumn("signature", F.lit("s2")), tree, 1).first().asDict()
+    assert not any(v for k, v in bad.items() if k != "pages_complete")
+
+
+def test_limits(spark):
+    from leafwork.functions import exprs
+
+    assert [r[0] for r in spark.createDataFrame([(106948,), (19,), (0,)], "n long").select(exprs.cap(F.col("n"), 0.05, 5000)).collect()] == [5000, 0, 0]
+    assert spark.range(1).select(exprs.cap(F.lit(106948), 0.05, 10**6)).first()[0] == 5347
+    gates.enforce(10, 2, 10, 4, {"requests": 3, "failed": 0}, 1.0)
+    for bad in ((11, 2, 10, 4, None, 1.0), (1, 5, 10, 4, None, 1.0), (1, 1, 10, 4, {"requests": 3, "failed": 1}, 1.0), (1, 1, 10, 4, None, None), (1, 1, 10, 4, None, 30.0)):
+        with pytest.raises(gates.Violation):
+            gates.enforce(*bad)
