@@ -26,7 +26,9 @@ from leafwork.llm.common import discard, materialize, rows_whole, table
 
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+#: Rows of one batch that a task returns: sketches and keys of long texts are large.
+ROWS = 1_000
 #: Rows up to which a table of ids is broadcast to documents; beyond it, a join.
 BROADCAST_IDS = 1_000_000
 #: Sets of one block, and shingles of one block where the sets themselves are compared; a cell holds two blocks.
@@ -135,10 +137,13 @@ def sketches(docs: DataFrame, n: int, num: int) -> DataFrame:
     """
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bands, seen = Bands(num), set()
+        bands, seen, names = Bands(num), set(), ["doc_id", "h", "n_shingles", "k1", "k2", "sketch", "keys"]
         for batch in batches:
             rows = []
-            for doc_id, h, text in zip(batch["doc_id"].tolist(), batch["h"].tolist(), batch["text"].tolist()):
+            for doc_id, h, text in zip(batch["doc_id"].to_numpy(), batch["h"].to_numpy(), batch["text"].to_numpy()):
+                if len(rows) == ROWS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
                 s = shingles(text, n)
                 k1, k2 = identity(s)
                 first = len(s) > 0 and (k1, k2) not in seen
@@ -146,7 +151,7 @@ def sketches(docs: DataFrame, n: int, num: int) -> DataFrame:
                     seen.add((k1, k2))
                 keys = chunk_keys(s, bands).view(np.int64) if first else np.empty(0, np.int64)
                 rows.append((doc_id, h, len(s), k1, k2, bit_sketch(s) if len(s) else b"", keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "h", "n_shingles", "k1", "k2", "sketch", "keys"])
+            yield pd.DataFrame(rows, columns=names)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_hash().alias("h"), F.col("text").cast("string")).filter("doc_id is not null")
     return rows.mapInPandas(make, "doc_id long, h long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>")
@@ -427,8 +432,10 @@ def classes(docs: DataFrame, n: int, num: int) -> DataFrame:
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [shingles(t, n) for t in batch["text"].tolist()]
-            yield pd.DataFrame({"node": [identity(s)[0] for s in found], "n": [len(s) for s in found], "data": [s.tobytes() for s in found]})
+            texts = batch["text"].to_numpy()
+            for at in range(0, len(texts), ROWS):
+                found = [shingles(t, n) for t in texts[at : at + ROWS]]
+                yield pd.DataFrame({"node": [identity(s)[0] for s in found], "n": [len(s) for s in found], "data": [s.tobytes() for s in found]})
 
     sets = materialize(texts.mapInPandas(hashes, "node long, n long, data binary"), "sets")
     discard(ids)

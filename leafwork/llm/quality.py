@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from leafwork.llm.common import BLANKS, materialize, of_row, rows_whole, table, words
 
 WINDOW = 5
+#: Rejected rows up to which their keys are broadcast; beyond it, a join.
+BROADCAST_IDS = 1_000_000
 #: Rule name and condition over the measurements, by bit.
 RULES: list[tuple[str, str]] = [
     ("too_few_words", "n_words < 10"),
@@ -116,9 +118,18 @@ def ablation(rows: DataFrame, policy: str = "v1", by: str | None = None) -> Data
 
 
 def keep_documents(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """The documents that pass a policy, with the columns of `docs`. The ledger is stored with the documents; the policy reads its bits."""
-    led = materialize(judged(docs), "ledger")
-    return led.filter(kept(policy)).select("_row.*")
+    """The documents that pass a policy, with the columns of `docs`.
+
+    The ledger is stored without texts; the policy reads its bits, and rows that it rejects, by doc_id and the text's hash,
+    leave `docs`. Rows that agree in both have the same text and so the same bits.
+    """
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    rows = judged(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    led = materialize(rows.select(*of_row(["doc_id"]), F.xxhash64(F.col("_row").getField("text")).alias("h"), *MEASURES, "failed_bits"), "ledger")
+    gone = materialize(led.filter(~kept(policy)).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct(), "rejected")
+    small = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    whole = rows_whole(docs, F.col("doc_id").alias("_doc"), text_hash.alias("_hash"))
+    return whole.join(small, F.expr("_doc <=> _d and _hash = _h"), "left_anti").select("_row.*")
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
