@@ -1,8 +1,9 @@
 """WARC archives through a chunked record table.
 
-Reading never holds a whole record: a payload is a stream of rows (record, chunk number), each with the digest of
-everything up to it. Writing holds a batch of pages, and one payload whole at a time. Archives are WARC/1.1 files of one gzip member a record, written under a temporary name
-and renamed when complete, so a task that runs again leaves one whole file.
+Reading and writing go by rows (record, chunk number): the engine cuts payloads into chunks, and the workers that write
+or read a record hold one chunk of it, with the digest of everything up to it. Equal payloads meet as aggregates, so a
+payload is carried and written once and its copies are counts. Archives are WARC/1.1 files of one gzip member a record,
+written under a temporary name and renamed when complete, so a task that runs again leaves one whole file.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwork.llm.common import fresh_path, table
@@ -22,6 +24,7 @@ from leafwork.llm.common import fresh_path, table
 CHUNK = 1 << 16
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+_WRITTEN = ("kind", "sole", "page_id", "url", "refers_to", "hex", "payload_bytes", "chunk", "data", "last")
 CHUNK_ROW = "file string, record_id string, record_type string, page_id long, refers_to_id string, refers_to_page long, chunk int, at long, size int, digest string, declared string, last boolean"
 
 
@@ -39,59 +42,77 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
-def _chunks(payload: bytes, size: int = CHUNK) -> Iterator[bytes]:
-    view = memoryview(payload)
-    for at in range(0, len(view), size):
-        yield view[at : at + size]
-
-
 # ---------------------------------------------------------------- plan
 
 
-def digests(pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes and payload_digest (bare base32 SHA-1) of each page; a null html is empty.
+def _order(*also: str) -> Column:
+    """What makes a row the response of its payload: the smallest page_id, null last, then the smallest url, null first."""
+    return F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", *also)
 
-    The digest is taken by the engine over the payload's UTF-8 bytes.
-    """
+
+def _pages(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload (UTF-8), payload_bytes and hex (SHA-1) of each page; a null html is empty."""
+    url = F.col("url") if "url" in pages.columns else F.lit(None)
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    hexed = F.sha1(payload)
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    bits = F.array_join(F.transform(F.split(hexed, ""), lambda c: F.lpad(F.conv(c, 16, 2), 4, "0")), "")
-    digits = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring(F.lit(letters), F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)))
-    return pages.select(F.col("page_id").cast("long"), F.length(payload).cast("long").alias("payload_bytes"), hexed.alias("_hex"), F.array_join(digits, "").alias("payload_digest"))
+    rows = pages.select(F.col("page_id").cast("long"), url.cast("string").alias("url"), payload.alias("payload"))
+    return rows.select("*", F.length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("hex"))
 
 
-def _decided(rows: DataFrame, least: int) -> DataFrame:
-    """`rows` (page_id, payload_bytes, _hex and more) with record_type, refers_to and _sole: whether the response that
-    the row is, or revisits, is the only one of its page_id and payload. Every row is decided by its own payload.
+def _revisits(rows: DataFrame) -> DataFrame:
+    """page_id, url, payload_bytes, hex, refers_to: all rows of `_pages` but the first of each payload.
 
-    Equal payloads meet as partial minima, so a frequent payload is no large group.
+    Rows that agree in all are counted before they meet, and come back in blocks, so a frequent row is no large group.
     """
-    by_page = rows.groupBy("_hex", "payload_bytes", "page_id").agg(F.count("*").alias("_n"))
-    first = by_page.groupBy(F.col("_hex").alias("_h"), F.col("payload_bytes").alias("_b")).agg(F.min("page_id").alias("_first"), F.min_by("_n", "page_id").alias("_same"), F.sum("_n").alias("_all")).filter("_all > 1")
-    both = rows.join(first, F.expr("_hex = _h and payload_bytes = _b"), "left")
-    revisit = F.expr(f"_first is not null and payload_bytes >= {least} and not (page_id <=> _first)")
-    sole = F.expr("_h is null or _same = 1") & (revisit | F.expr("_h is null or page_id <=> _first"))
-    return both.select(*rows.columns, F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"), F.coalesce(sole, F.lit(False)).alias("_sole"))
+    same = rows.groupBy("hex", "payload_bytes", "page_id", "url").agg(F.count("*").alias("n"))
+    first = same.groupBy(F.col("hex").alias("h"), F.col("payload_bytes").alias("b")).agg(F.min(_order()).alias("first"), F.sum("n").alias("all")).filter("all > 1")
+    left = same.join(first, F.expr("hex = h and payload_bytes = b")).withColumn("n", F.col("n") - F.when(_order().eqNullSafe(F.col("first")), 1).otherwise(0)).filter("n > 0")
+    block = 10_000
+    blocks = left.select("page_id", "url", "payload_bytes", "hex", F.col("first.page_id").alias("refers_to"), F.col("n"), F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / block))).alias("at"))
+    return blocks.repartition("hex", "page_id", "url", "at").select("page_id", "url", "payload_bytes", "hex", "refers_to", F.explode(F.sequence(F.lit(1), F.least(F.lit(block).cast("long"), F.col("n") - F.col("at") * block).cast("int"))).alias("k")).drop("k")
 
 
 def plan(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, record_type and refers_to of each row: of equal payloads of at least `least` bytes the rows with the
-    smallest page_id are responses and the others revisit it. Null page_ids sort last; payloads that only they have are
-    responses.
+    """page_id, record_type and refers_to of each row: of equal payloads of at least `least` bytes the row with the
+    smallest page_id is the response, and the others, its own repetitions too, revisit it. Null page_ids sort last; smaller
+    payloads are all responses.
     """
-    return _decided(digests(pages).drop("payload_digest"), least).select("page_id", "record_type", "refers_to")
+    rows = _pages(pages).drop("payload")
+    large = rows.filter(F.col("payload_bytes") >= least)
+    response = large.groupBy("hex", "payload_bytes").agg(F.min(_order()).alias("first")).selectExpr("first.page_id as page_id", "'response' as record_type", "cast(null as long) as refers_to")
+    out = response.unionByName(_revisits(large).selectExpr("page_id", "'revisit' as record_type", "refers_to"))
+    small = rows.filter(F.col("payload_bytes") < least).selectExpr("page_id", "'response' as record_type", "cast(null as long) as refers_to")
+    return out.unionByName(small) if least > 0 else out
 
 
 # ---------------------------------------------------------------- write
 
 
+def to_chunks(pages: DataFrame, least: int = 0, chunk: int = CHUNK) -> DataFrame:
+    """The chunked record table to be written: kind, sole, page_id, url, refers_to, hex, payload_bytes, chunk, data, last.
+
+    A record's rows are neighbours, in order. `sole` tells that no other response has the payload, so that page_id and
+    digest make a record id that revisits can name; a revisit, or an empty payload, is one row without data.
+    """
+    rows = _pages(pages)
+    large = rows.filter(F.col("payload_bytes") >= least)
+    first = large.groupBy("hex", "payload_bytes").agg(F.min(_order("payload")).alias("first"))
+    responses = first.select("first.page_id", "first.url", "payload_bytes", "hex", "first.payload", F.lit(True).alias("sole"))
+    if least > 0:
+        small = rows.filter(F.col("payload_bytes") < least)
+        responses = responses.unionByName(small.withColumn("sole", F.lit(False)))
+    parts = F.when(F.col("payload_bytes") <= chunk, F.array("payload")).otherwise(F.transform(F.sequence(F.lit(0), ((F.col("payload_bytes") - 1) / chunk).cast("int")), lambda i: F.substring(F.col("payload"), i * chunk + 1, F.lit(chunk))))
+    cut = responses.select(F.lit("response").alias("kind"), "sole", "page_id", "url", F.lit(None).cast("long").alias("refers_to"), "hex", "payload_bytes", F.posexplode(parts).alias("chunk", "data"))
+    cut = cut.withColumn("last", (F.col("chunk") + 1) * F.lit(chunk).cast("long") >= F.col("payload_bytes"))
+    again = _revisits(large.drop("payload")).select(F.lit("revisit").alias("kind"), F.lit(False).alias("sole"), "page_id", "url", "refers_to", "hex", "payload_bytes", F.lit(0).alias("chunk"), F.lit(b"").alias("data"), F.lit(True).alias("last"))
+    return cut.unionByName(again)
+
+
 def _header(kind: str, own_id: str, page_id, url: str, digest: str, length: int, size: int, refers, refers_id: str | None, date: str) -> bytes:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {own_id}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-ID: {'' if page_id is None else page_id}", f"X-Payload-Length: {size}"]
     if url:
         lines.append("WARC-Target-URI: " + "".join(c for c in url if c not in "\r\n"))
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", *([f"WARC-Refers-To: {refers_id}"] if refers_id else []), f"X-Refers-To-Page: {refers}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {refers_id}", f"X-Refers-To-Page: {'' if refers is None else refers}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {length}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
@@ -99,48 +120,44 @@ def _header(kind: str, own_id: str, page_id, url: str, digest: str, length: int,
 def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 1) -> DataFrame:
     """Write a record per row of `pages` (page_id, url, html) to archives in `folder`; rows (file, records, size).
 
-    Record ids differ. A revisit names its response by page_id and payload digest, and by record id if just one response
-    has both.
+    Record ids differ, and a revisit names that of its response. Payloads come as chunks; one whose digest differs from the
+    engine's raises an error.
 
     The result must be evaluated once for the archives to exist; the names of files that no finished task reported are
     not in it, so a task's second attempt never shows records twice.
     """
-    url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
-    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    keyed = pages.select(F.col("page_id").cast("long"), url.cast("string").alias("url"), F.col("html").cast("string"), F.length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("_hex"))
-    rows = _decided(keyed, least).select("page_id", "url", "html", "refers_to", "_sole")
 
-    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _filesystem(folder)
         files.create_dir(root, recursive=True)
         name = f"part-{uuid.uuid4().hex}.warc.gz"
-        out, records = None, 0
+        out, records, gz, sha = None, 0, None, None
         for batch in batches:
-            for page_id, address, html, refers, sole in zip(*(batch[c].tolist() for c in ("page_id", "url", "html", "refers_to", "_sole"))):
-                page_id = None if pd.isna(page_id) else int(page_id)
-                payload = (html or "").encode()
-                sha = hashlib.sha1()
-                for chunk in _chunks(payload):
-                    sha.update(chunk)
-                out = out or files.open_output_stream(f"{root}/{name}.tmp", compression=None)
-                gz = zlib.compressobj(level, zlib.DEFLATED, 31)
-                kind = "response" if refers is None or pd.isna(refers) else "revisit"
-                refers, digest = None if kind == "response" else int(refers), _base32(sha.digest())
-                own_id = record_id(page_id, digest, "" if sole and kind == "response" else f"{name}/{records}")
-                refers_id = record_id(refers, digest) if sole and kind == "revisit" else None
-                block = [_HTTP, *(_chunks(payload) if kind == "response" else ())]
-                out.write(gz.compress(_header(kind, own_id, page_id, address, digest, sum(map(len, block)), len(payload), refers, refers_id, date)))
-                for part in block:
-                    out.write(gz.compress(part))
-                out.write(gz.compress(b"\r\n\r\n") + gz.flush())
-                records += 1
+            for kind, sole, page_id, url, refers, hexed, size, k, data, last in zip(*(batch.column(c) for c in _WRITTEN)):
+                kind, hexed, size = kind.as_py(), hexed.as_py(), size.as_py()
+                if k.as_py() == 0:
+                    out = out or files.open_output_stream(f"{root}/{name}.tmp", compression=None)
+                    gz, sha, digest = zlib.compressobj(level, zlib.DEFLATED, 31), hashlib.sha1(), _base32(bytes.fromhex(hexed))
+                    page_id, refers = page_id.as_py(), refers.as_py()
+                    own_id = record_id(page_id, digest, "" if sole.as_py() else f"{name}/{records}")
+                    refers_id = record_id(refers, digest) if kind == "revisit" else None
+                    length = len(_HTTP) + (size if kind == "response" else 0)
+                    out.write(gz.compress(_header(kind, own_id, page_id, url.as_py(), digest, length, size, refers, refers_id, date) + _HTTP))
+                if size and kind == "response":
+                    sha.update(data.as_buffer())
+                    out.write(gz.compress(data.as_buffer()))
+                if last.as_py():
+                    if kind == "response" and sha.hexdigest() != hexed:
+                        raise ValueError(f"chunks of {hexed} don't make its payload")
+                    out.write(gz.compress(b"\r\n\r\n") + gz.flush())
+                    records += 1
         if out:
-            size = out.tell()
+            written = out.tell()
             out.close()
             files.move(f"{root}/{name}.tmp", f"{root}/{name}")
-            yield pd.DataFrame({"file": [f"{folder}/{name}"], "records": [records], "size": [size]})
+            yield pa.RecordBatch.from_pydict({"file": [f"{folder}/{name}"], "records": [records], "size": [written]})
 
-    return rows.mapInPandas(save, "file string, records long, size long")
+    return to_chunks(pages, least).select(*_WRITTEN).mapInArrow(save, "file string, records long, size long")
 
 
 # ---------------------------------------------------------------- read
@@ -266,16 +283,16 @@ def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
 def payloads(chunks: DataFrame) -> DataFrame:
     """A row per record: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A revisit's payload is that of the response of the page it refers to with the digest it declares. A response whose digest differs from the declared one has
-    a null payload_digest.
+    A revisit's payload is that of the response of the page it refers to (null: one without page_id) with the digest it
+    declares. A response whose digest differs from the declared one has a null payload_digest.
     """
     last = chunks.filter("last")
     own = last.selectExpr("page_id", "record_type", "refers_to_page", "at + size as payload_bytes", "declared", "if(digest = declared, digest, null) as payload_digest")
     kept = own.filter("record_type = 'response'").selectExpr("page_id as _id", "declared as _declared", "payload_digest is not null as _sound", "payload_bytes as _bytes")
     wanted = own.filter("record_type = 'revisit'")
     # Few of the responses are referred to, by many revisits: each is fetched once, a sound copy before a damaged one.
-    asked = wanted.select(F.col("refers_to_page").alias("_page"), F.col("declared").alias("_asked")).distinct().join(kept, F.expr("_page = _id and _asked = _declared")).groupBy("_page", "_asked").agg(F.max_by("_bytes", "_sound").alias("_bytes"), F.max("_sound").alias("_sound"))
-    found = wanted.join(asked, F.expr("refers_to_page = _page and declared = _asked"), "left").selectExpr("page_id", "_bytes as payload_bytes", "if(_sound, declared, null) as payload_digest", "record_type", "refers_to_page as refers_to")
+    asked = wanted.select(F.col("refers_to_page").alias("_page"), F.col("declared").alias("_asked")).distinct().join(kept, F.expr("_page <=> _id and _asked = _declared")).groupBy("_page", "_asked").agg(F.max_by("_bytes", "_sound").alias("_bytes"), F.max("_sound").alias("_sound"))
+    found = wanted.join(asked, F.expr("refers_to_page <=> _page and declared = _asked"), "left").selectExpr("page_id", "_bytes as payload_bytes", "if(_sound, declared, null) as payload_digest", "record_type", "refers_to_page as refers_to")
     return own.filter("record_type = 'response'").selectExpr("page_id", "payload_bytes", "payload_digest", "record_type", "cast(null as long) as refers_to").unionByName(found)
 
 
@@ -288,7 +305,10 @@ def archive(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def op10_warc(spark, sf_dir: str) -> DataFrame:
-    """Every page written as a WARC record and read back from the archives."""
+    """Every page written as a WARC record and read back from the archives; see `plan` for null and repeated page_ids.
+
+    A null html is an empty payload, which is revisited like any other; an empty table has no archives and no rows.
+    """
     files = archive(spark, table(spark, sf_dir, "pages"))
     n = max(1, files.count())
     return payloads(read_chunks(files.repartition(n, "file")))
