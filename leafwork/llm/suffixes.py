@@ -224,18 +224,18 @@ def _induced(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _counted(rows: DataFrame, length: int) -> DataFrame:
-    """The same for cores with very many contexts: each window's hash is counted, so no group is gathered."""
+    """The same for cores with very many contexts: windows are counted by 128-bit hashes, so no group is gathered."""
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh3_128_digest
 
         for batch in batches:
             for row in batch.itertuples():
                 whole = row.left[::-1] + row.right
                 steps = range(row.least, row.most + 1)
-                yield pd.DataFrame({"core": row.core, "full": row.full, "step": list(steps), "w": np.array([xxh3_64_intdigest(whole[row.most - o : row.most - o + length]) for o in steps], np.uint64).view(np.int64)})
+                yield pd.DataFrame({"core": row.core, "full": row.full, "step": list(steps), "w": [xxh3_128_digest(whole[row.most - o : row.most - o + length]) for o in steps]})
 
-    each = rows.mapInPandas(windows, "core long, full long, step int, w long")
+    each = rows.mapInPandas(windows, "core long, full long, step int, w binary")
     again = each.groupBy("core", "step", "w").agg(F.count("*").alias("_n")).filter("_n > 1").selectExpr("core as _c", "step as _s", "w as _w")
     return each.join(again, F.expr("core = _c and step = _s and w = _w")).selectExpr("core", "full", "step as from_step", "step as to_step")
 
