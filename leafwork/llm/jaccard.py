@@ -362,7 +362,7 @@ def _arranged(rows: DataFrame, weighed: bool) -> DataFrame:
     """
     per = rows.groupBy("g", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
     whole = per.groupBy(F.col("g").alias("_g")).agg(F.sum("c").alias("_c"), F.sum("w").alias("_w"), F.max(F.struct("c", "comp", "w")).alias("_main"), F.count("*").alias("_comps"))
-    blocks = (lambda c, w: f"greatest(1, cast(ceil({c} / {BLOCK}) as int), cast(ceil({w} / {BLOCK_SHINGLES}) as int))") if weighed else (lambda c, w: f"greatest(1, cast(ceil({c} / {BLOCK}) as int))")
+    blocks = (lambda c, w: f"greatest(1, cast(ceil(({c}) / {BLOCK}) as int), cast(ceil(({w}) / {BLOCK_SHINGLES}) as int))") if weighed else (lambda c, w: f"greatest(1, cast(ceil(({c}) / {BLOCK}) as int))")
     whole = whole.filter("_comps > 1").selectExpr("_g", "_main.comp as _first", f"{blocks('_c', '_w')} as _all", f"{blocks('_c - _main.c', '_w - _main.w')} as _rest", f"{blocks('_main.c', '_main.w')} as _most")
     dealt = rows.join(whole, F.col("g") == F.col("_g"))
     own = f"case when _all = 1 then 0 when comp = _first then _rest + {_block('_most')} else {_block('_rest')} end"
