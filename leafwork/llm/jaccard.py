@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import discard, materialize, rows_whole, table
+from leafwork.llm.common import discard, lean, materialize, rows_whole, table
 
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
@@ -154,7 +154,7 @@ def sketches(docs: DataFrame, n: int, num: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=names)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_hash().alias("h"), F.col("text").cast("string")).filter("doc_id is not null")
-    return rows.mapInPandas(make, "doc_id long, h long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>")
+    return rows.mapInPandas(lean(make, True), "doc_id long, h long, n_shingles long, k1 long, k2 long, sketch binary, keys array<long>")
 
 
 def text_hash() -> Column:
@@ -216,7 +216,7 @@ def _groups(sketched: DataFrame) -> DataFrame:
             if some.any():
                 yield pd.DataFrame({"g": np.repeat(g, size)[some], "m": np.repeat(size, size)[some].astype(np.int64), "node": o[some]})
 
-    return sent.mapInPandas(star, "g long, m long, node long").distinct()
+    return sent.mapInPandas(lean(star), "g long, m long, node long").distinct()
 
 
 def unite(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,7 +348,7 @@ def _cells(rows: DataFrame, data: DataFrame, num: int, exact: bool) -> DataFrame
             if batch is None:
                 return
 
-    return cells.mapInPandas(work, "a long, b long")
+    return cells.mapInPandas(lean(work), "a long, b long")
 
 
 def _block(count: str) -> str:
@@ -437,7 +437,7 @@ def classes(docs: DataFrame, n: int, num: int) -> DataFrame:
                 found = [shingles(t, n) for t in texts[at : at + ROWS]]
                 yield pd.DataFrame({"node": [identity(s)[0] for s in found], "n": [len(s) for s in found], "data": [s.tobytes() for s in found]})
 
-    sets = materialize(texts.mapInPandas(hashes, "node long, n long, data binary"), "sets")
+    sets = materialize(texts.mapInPandas(lean(hashes, True), "node long, n long, data binary"), "sets")
     discard(ids)
     comps = _linked(near, clusters, sets, num)
     discard(sets, near, clusters)

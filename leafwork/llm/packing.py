@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import materialize, table
+from leafwork.llm.common import lean, materialize, table
 
 CAPACITY = 2048
 #: Nodes of the branch and bound on the driver, over all branches.
@@ -129,7 +129,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
             yield out.astype({"doc_id": "Int64"})
 
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(cut, kind)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(lean(cut, True), kind)
 
 
 # ---------------------------------------------------------------- the plan
