@@ -5,8 +5,8 @@ over words and pairs of neighbouring words, learned from the notices in TEMPLATE
 words) against ordinary lines of the documents, gives each passage a probability for each licence and for ordinary text.
 Two logistic curves, fitted to notices and licences that a model did not see in training, turn its margins into the
 probability of a licence notice and of a known licence. Whatever isn't known with confidence, or shares too little with
-each notice of its licence, is `unknown`. The scan runs as built-in expressions; only lines with a telling word, of which
-every part of a training notice holds one, reach the classifier.
+each notice of its licence, is `unknown`. The scan runs as built-in expressions; only lines with a telling word reach the
+classifier: without one, by its weights, no passage can be judged a notice.
 """
 
 from __future__ import annotations
@@ -152,8 +152,9 @@ class Model:
         self.filler = [x for x in self.plain if len(x) >= 6] or [["a"] * 6]
         self.vocabulary = sorted({g for texts in self.templates.values() for t in texts for g in features(tokens(t))})
         self.regression = Regression(self._samples({}), len(self.classes) + 1, self.vocabulary)
-        self.telling = self._telling()
+        self.cover = self._cover()
         self._calibrate()
+        self.telling = self._telling()
 
     def _samples(self, hidden: dict[str, set[int]]) -> list[tuple[frozenset, int, float]]:
         """Training sets without the `hidden` notices: each notice's parts bare and among ordinary words; classes weigh alike."""
@@ -174,7 +175,7 @@ class Model:
             out.append((frozenset(features(tokens(x))), 0, 0.5 / len(ORDINARY)))
         return out
 
-    def _telling(self) -> list[str]:
+    def _cover(self) -> list[str]:
         """Words, rare in ordinary lines, of which each part of a notice holds one: the cheapest cover, chosen greedily."""
         lines = [" ".join(x) for x in self.plain[: -len(ORDINARY)]]
         need = [set(p) for texts in self.templates.values() for t in texts for p in parts(tokens(t))]
@@ -209,10 +210,34 @@ class Model:
                         lead.append((ahead, 0))
                     elif shown[best - 1] - 1 == self.classes.index(c):
                         lead.append((ahead, 1))
-        score += [(margins(self.regression.logits(x))[0], 0) for x in self.plain if set(self.telling) & set(x)]
+        score += [(margins(self.regression.logits(x))[0], 0) for x in self.plain if set(self.cover) & set(x)]
         score.append((float(self.regression.weight[-1, 1:].max() - self.regression.weight[-1, 0]), 0))
         self.is_license, self.is_known = _curve(score), _curve(lead)
 
+    def _telling(self) -> list[str]:
+        """Words of which every passage that can be judged a licence notice holds one.
+
+        With all grams that hold none of them, whatever speaks for a licence counted and whatever speaks against it
+        not, a passage stays short of a probability of 0.5. Of the vocabulary's words those frequent in ordinary
+        lines are left out first, as long as that is so.
+        """
+        w, (slope, offset) = self.regression.weight, self.is_license
+        gain = np.maximum(w[:-1, 1:] - w[:-1, :1], 0) if slope > 0 else np.zeros((len(w) - 1, 1))
+        bias = w[-1, 1:] - w[-1, 0]
+        short = lambda total: slope > 0 and slope * float(np.logaddexp.reduce(bias + total)) + offset < -0.05 * slope  # noqa: E731  # weights are rounded in the scan
+        if not short(np.zeros(len(bias))):
+            return [""]  # in every text
+        lines = [" ".join(x) for x in self.plain[: -len(ORDINARY)]]
+        single = [g for g in self.vocabulary if " " not in g]
+        often = {x: sum(x in line for line in lines) for x in single}
+        out, total = set(), np.zeros(len(bias))
+        for x in sorted(single, key=lambda x: (-often[x], len(x), x)):
+            more = [k for g, k in self.regression.at.items() if x in g.split(" ") and out.issuperset(set(g.split(" ")) - {x})]
+            if short(total + gain[more].sum(axis=0)):
+                out.add(x)
+                total = total + gain[more].sum(axis=0)
+        return sorted(set(single) - out)
+
     def judge(self, words: list[str]) -> tuple[float, float, str]:
         """Probability of a licence notice, probability of a known licence, and the best licence, of one passage."""
         odds, ahead, best = margins(self.regression.logits(words))
@@ -286,15 +311,16 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     has = lambda x: " or ".join(f"contains({x}, '{w}')" for w in model.telling)
+    telling = lambda x: "true" if "" in model.telling else f"arrays_overlap({x}, {_strings(model.telling)})"
     a = rows_whole(docs.select(*[f"`{c}`" for c in own]), F.lower(text).alias("_text"))
     a = a.select("_row", F.expr("size(filter(split(_text, '\\n', -1), x -> x rlike '[\\\\p{L}\\\\p{N}]'))").cast("long").alias("n_paragraphs"), F.expr(f"if({has('_text')}, transform(split(_text, '\\n', -1), (x, k) -> named_struct('k', k, 'x', x)), array())").alias("_lines"))
     clean = "split(trim(regexp_replace(l.x, '[^\\\\p{L}\\\\p{N}]+', ' ')), ' ', -1)"
     b = a.select("_row", "n_paragraphs", F.expr(f"transform(filter(_lines, l -> {has('l.x')}), l -> named_struct('k', l.k, 'words', {clean}))").alias("_lines"))
     # Passages from every STEP-th word, until one reaches the end of the line.
     cut = f"transform(sequence(0, greatest(0, (size(l.words) - {PASSAGE} + {STEP - 1}) div {STEP})), i -> named_struct('k', l.k, 'words', slice(l.words, i * {STEP} + 1, {PASSAGE})))"
-    c = b.select("_row", "n_paragraphs", F.expr(f"filter(flatten(transform(_lines, l -> {cut})), p -> {has("array_join(p.words, ' ')")})").alias("_p"))
-    d = c.select("_row", "n_paragraphs", F.expr(f"transform(_p, p -> named_struct('k', p.k, 'pairs', {_pairs('p.words')}, 'text', concat(' ', array_join(p.words, ' '), ' ')))").alias("_p"))
-    present = f"filter(transform({grams}, (g, i) -> if(contains(p.text, concat(' ', g, ' ')), i, -1)), i -> i >= 0)"
+    c = b.select("_row", "n_paragraphs", F.expr(f"filter(flatten(transform(_lines, l -> {cut})), p -> {telling('p.words')})").alias("_p"))
+    d = c.select("_row", "n_paragraphs", F.expr(f"transform(_p, p -> named_struct('k', p.k, 'pairs', {_pairs('p.words')}, 'words', p.words))").alias("_p"))
+    present = f"transform(array_intersect({grams}, concat(p.words, p.pairs)), g -> cast(array_position({grams}, g) as int) - 1)"
     e = d.select("_row", "n_paragraphs", F.expr(f"transform(_p, p -> named_struct('k', p.k, 'pairs', p.pairs, 'at', {present}))").alias("_p"))
     logits = f"transform(sequence(0, {n - 1}), c -> aggregate(p.at, {bias}[c], (a, i) -> a + {weight}[i * {n} + c]))"
     f = e.select("_row", "n_paragraphs", F.expr(f"transform(_p, p -> named_struct('k', p.k, 'pairs', p.pairs, 'z0', {logits}[0], 'z', slice({logits}, 2, {n - 1})))").alias("_p"))
