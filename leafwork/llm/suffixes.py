@@ -17,15 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import materialize, table
+from leafwork.llm.common import lean, materialize, table
 from leafwork.llm.jaccard import mix
 
 LENGTH, GRAM = 200, 64
 #: Bytes of text that are hashed together in a task.
 SLICE = 1 << 18
+#: Rows that a worker makes before it hands them on.
+ROWS = 10_000
 #: Texts up to which the ids of wanted texts are broadcast to fetch them; beyond it, a join.
 BROADCAST_IDS = 1_000_000
 #: Contexts of one beginning that are induced in memory; a beginning with more has its windows counted instead.
@@ -52,9 +56,22 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - (width - have)], keys[width - have :]) if width > have else keys
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows of about SLICE bytes of text at once, and their texts: a batch is held as it came, and only these as objects."""
+    for batch in batches:
+        text = pc.fill_null(batch.column("text").cast(pa.large_binary()), b"")
+        ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(ends):
+            end = max(at + 1, int(np.searchsorted(ends, SLICE + (ends[at - 1] if at else 0), "right")))
+            yield batch.slice(at, end - at), text.slice(at, end - at).to_pylist()
+            at = end
+
+
 def positions(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For texts of at least `length` bytes: (index, first window, last window, S-position, gram hash) of each run of
-    windows that share an S-position, by position in the text."""
+    windows that share an S-position, by position in the text. A text beyond SLICE is hashed by pieces; a run that crosses
+    their border comes as two."""
     assert length > GRAM
     at = 0
     while at < len(texts):
@@ -62,10 +79,13 @@ def positions(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, n
         while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE):
             size += len(texts[end])
             end += 1
-        part = texts[at:end]
-        joined = np.frombuffer(b"".join(part), np.uint8)
-        starts = np.cumsum([0, *map(len, part)])
-        if len(joined) >= length:
+        # A text beyond SLICE stands alone; windows across a border belong to the piece before it.
+        for lead in range(0, size, SLICE):
+            part = [texts[at][lead : lead + SLICE + length - 1]] if size > SLICE else texts[at:end]
+            joined = np.frombuffer(b"".join(part), np.uint8)
+            starts = np.cumsum([0, *map(len, part)])
+            if len(joined) < length:
+                continue
             h = _grams(joined)
             keys = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
             chosen = (_least(keys, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -76,7 +96,7 @@ def positions(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, n
                 own = chosen[a:b]
                 new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                 last = np.append(new[1:], len(own)) - 1
-                yield at + k, new, last, own[new] - a, h[own[new]]
+                yield at + k, lead + new, lead + last, lead + own[new] - a, h[own[new]]
         at = end
 
 
@@ -85,21 +105,26 @@ def runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     and the place of the S-position in them), doc and uid (the text's document and hash), lo (first window), least and most
     (bytes from a window's start to the S-position)."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
-        for batch in batches:
-            texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in batch["text"].tolist()]
-            ids, uids = batch["doc"].to_numpy(), batch["uid"].to_numpy()
-            out = []
+        kinds = dict(core=np.int64, full=np.int64, doc=np.int64, uid=np.int64, lo=np.int64, least=np.int32, most=np.int32)
+        rows = lambda out: pa.RecordBatch.from_pydict({c: np.concatenate(x).astype(kind, copy=False) for (c, kind), x in zip(kinds.items(), zip(*out))})
+        for part, texts in sliced(batches):
+            ids, uids = (part.column(c).to_numpy() for c in ("doc", "uid"))
+            out, held = [], 0
             for k, first, last, s, core in positions(texts, length):
                 text, least, most = texts[k], s - last, s - first
                 full = [xxh3_64_intdigest(text[a : b + length], c) for a, b, c in zip(first.tolist(), last.tolist(), most.tolist())]
                 out.append((core.view(np.int64), np.array(full, np.uint64).view(np.int64), np.full(len(s), ids[k]), np.full(len(s), uids[k]), first, least, most))
+                held += len(s)
+                if held >= ROWS:
+                    yield rows(out)
+                    out, held = [], 0
             if out:
-                yield pd.DataFrame(dict(zip(["core", "full", "doc", "uid", "lo", "least", "most"], (np.concatenate(x) for x in zip(*out)))))
+                yield rows(out)
 
-    return docs.select("doc", "uid", "text").mapInPandas(find, "core long, full long, doc long, uid long, lo long, least int, most int")
+    return docs.select("doc", "uid", "text").mapInArrow(lean(find, True), "core long, full long, doc long, uid long, lo long, least int, most int")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -108,17 +133,22 @@ def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     some = asked.select("doc", "uid")
     texts = docs.select("doc", "uid", "text").join(F.broadcast(some) if asked.count() <= BROADCAST_IDS else some, ["doc", "uid"], "left_semi").dropDuplicates(["doc", "uid"])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("core", pa.int64()), ("full", pa.int64()), ("n", pa.int64()), ("least", pa.int32()), ("most", pa.int32()), ("right", pa.binary()), ("left", pa.binary())])
+        for part, texts in sliced(batches):
             rows = []
-            for text, asks in zip(batch["text"].tolist(), batch["asked"].tolist()):
-                text = text.encode("utf-8", "surrogatepass")
-                for x in asks:
-                    s = x["lo"] + x["most"]
-                    rows.append((x["core"], x["full"], x["n"], x["least"], x["most"], text[s : s - x["least"] + length], text[x["lo"] : s][::-1]))
-            yield pd.DataFrame(rows, columns=["core", "full", "n", "least", "most", "right", "left"])
+            for text, asks in zip(texts, part.column("asked")):
+                for first in range(0, len(asks.values), ROWS):
+                    for x in asks.values.slice(first, ROWS).to_pylist():
+                        s = x["lo"] + x["most"]
+                        rows.append(x | {"right": text[s : s - x["least"] + length], "left": text[x["lo"] : s][::-1]})
+                    if len(rows) >= ROWS:
+                        yield pa.RecordBatch.from_pylist(rows, kind)
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, kind)
 
-    return texts.join(asked, ["doc", "uid"]).select("text", "asked").mapInPandas(cut, "core long, full long, n long, least int, most int, right binary, left binary")
+    return texts.join(asked, ["doc", "uid"]).select("text", "asked").mapInArrow(lean(cut, True), "core long, full long, n long, least int, most int, right binary, left binary")
 
 
 class _RangeMinimum:
@@ -220,7 +250,7 @@ def _induced(rows: DataFrame, length: int) -> DataFrame:
             if batch is None:
                 return
 
-    return shards.mapInPandas(work, "core long, full long, from_step int, to_step int")
+    return shards.mapInPandas(lean(work), "core long, full long, from_step int, to_step int")
 
 
 def _counted(rows: DataFrame, length: int) -> DataFrame:
@@ -235,7 +265,7 @@ def _counted(rows: DataFrame, length: int) -> DataFrame:
                 steps = range(row.least, row.most + 1)
                 yield pd.DataFrame({"core": row.core, "full": row.full, "step": list(steps), "w": [xxh3_128_digest(whole[row.most - o : row.most - o + length]) for o in steps]})
 
-    each = rows.mapInPandas(windows, "core long, full long, step int, w binary")
+    each = rows.mapInPandas(lean(windows), "core long, full long, step int, w binary")
     again = each.groupBy("core", "step", "w").agg(F.count("*").alias("_n")).filter("_n > 1").selectExpr("core as _c", "step as _s", "w as _w")
     return each.join(again, F.expr("core = _c and step = _s and w = _w")).selectExpr("core", "full", "step as from_step", "step as to_step")
 
@@ -273,11 +303,11 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = materialize(repeated(keyed, length), "spans")
     joined = keyed.join(spans, ["doc", "uid"], "left").select("doc_id", "text", "spans")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+        for part, texts in sliced(batches):
             rows = []
-            for doc_id, text, own in zip(batch["doc_id"].tolist(), batch["text"].tolist(), batch["spans"].tolist()):
-                text = text.encode("utf-8", "surrogatepass")
+            for doc_id, text, own in zip(part.column("doc_id").to_pylist(), texts, part.column("spans").to_pylist()):
                 merged: list[list[int]] = []
                 for s in sorted((x["a"], x["b"]) for x in own) if own is not None else ():
                     if merged and s[0] <= merged[-1][1]:
@@ -290,9 +320,9 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     at = b
                 kept = b"".join([*kept, text[at:]])
                 rows.append((doc_id, len(text), len(text) - len(kept), len(merged), kept))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), kind)], schema=kind)
 
-    return joined.mapInPandas(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(lean(cut, True), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op9_suffixes(spark, sf_dir: str) -> DataFrame:
