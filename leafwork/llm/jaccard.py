@@ -22,11 +22,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import discard, lean, materialize, rows_whole, table
+from leafwork.llm.common import discard, lean, materialize, rows_whole, small_batches, table
 
 BAND_RATIO = 1.5
 CHUNKS_PER_DIFFERENCE = 1.3
-CACHE_WORDS = 200_000
 #: Rows of one batch that a task returns: sketches and keys of long texts are large.
 ROWS = 1_000
 #: Rows up to which a table of ids is broadcast to documents; beyond it, a join.
@@ -49,25 +48,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
-        found = self[word] = xxh3_64_intdigest(word)
-        return found
-
-
-_words = _Words()
-
-
 def shingles(text: str | None, n: int) -> np.ndarray:
     """The sorted distinct hashes of a text's n-word shingles; bytes.lower and bytes.split know ASCII only."""
+    from xxhash import xxh3_64_intdigest
+
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_words) > CACHE_WORDS:
-        _words.clear()
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
     size = min(n, len(w))
     s = np.full(len(w) - size + 1, size, np.uint64)
     for k in range(size):
@@ -416,7 +404,8 @@ def _linked(near: DataFrame, clusters: DataFrame, sets: DataFrame, num: int) ->
 
 def classes(docs: DataFrame, n: int, num: int) -> DataFrame:
     """doc_id, h, n_shingles, label (equal for documents that links join, null without shingles) and component_id of each row with a doc_id."""
-    sent = materialize(sketches(docs, n, num), "keys")
+    with small_batches(docs.sparkSession):
+        sent = materialize(sketches(docs, n, num), "keys")
     members = materialize(_groups(sent), "groups")
     marked = materialize(sent.drop("keys"), "sketches")
     discard(sent)
@@ -437,7 +426,8 @@ def classes(docs: DataFrame, n: int, num: int) -> DataFrame:
                 found = [shingles(t, n) for t in texts[at : at + ROWS]]
                 yield pd.DataFrame({"node": [identity(s)[0] for s in found], "n": [len(s) for s in found], "data": [s.tobytes() for s in found]})
 
-    sets = materialize(texts.mapInPandas(lean(hashes, True), "node long, n long, data binary"), "sets")
+    with small_batches(docs.sparkSession):
+        sets = materialize(texts.mapInPandas(lean(hashes, True), "node long, n long, data binary"), "sets")
     discard(ids)
     comps = _linked(near, clusters, sets, num)
     discard(sets, near, clusters)

@@ -10,17 +10,18 @@ has some thousand patterns at most. Executors then look up each piece by its ran
 from __future__ import annotations
 
 import bisect
+import re
 import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwork.llm.common import lean, materialize, table
+from leafwork.llm.common import lean, materialize, small_batches, table
 
 CAPACITY = 2048
 #: Nodes of the branch and bound on the driver, over all branches.
@@ -29,67 +30,87 @@ SEARCH_NODES = 5_000
 FILL_STEPS, BRANCHES = 400, 3
 #: Pieces of the longest filling that is tested for dominance.
 TESTED_PIECES = 20
-#: Words that a worker remembers with their ids.
-CACHE_WORDS = 500_000
+#: Words that a worker remembers with their ids, and pieces of words; up to three times as many of each.
+CACHE_WORDS = 60_000
 #: Pieces of one length and bucket that one task ranks, about.
 BUCKET_ROWS = 50_000
 
 # ---------------------------------------------------------------- tokens
 
 
-class _WordIds(dict):
+class _Recent(dict):
+    """`make` of a key, remembered for keys that came again while they were among the last `most` new ones; 3 * `most` keys at most,
+    however long a text is."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.older, self.once = make, most, {}, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.once.pop(key, None)
+        if found is None and (found := self.older.get(key)) is None:
+            if len(self.once) >= self.most:
+                self.once.clear()
+            found = self.once[key] = self.make(key)
+            return found
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+    def forget(self) -> None:
+        for known in (self, self.older, self.once):
+            known.clear()
+
+
+class _WordIds:
     """Ids by white-space separated word: the tokenizer drops white space and never looks across it."""
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = _Recent(self.word, CACHE_WORDS), _Recent(self.piece, CACHE_WORDS)
         # The split pattern of the tokenizer file.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # the same, of ASCII in lower case
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.bytes = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
     def piece(self, part: str) -> bytes:
-        found = self.pieces.get(part)
-        if found is None:
-            shown = part if part.isascii() and "\x7f" not in part else part.encode().decode("latin1").translate(self.bytes)
-            ids = [t.id for t in self.model.tokenize(shown)]
-            found = self.pieces[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+        shown = part if part.isascii() and "\x7f" not in part else part.encode().decode("latin1").translate(self.bytes)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, word: str) -> bytes:
+    def word(self, word: str) -> bytes:
         # Latin letters are in NFC and lower-case one by one; a dotted capital I gains a mark, which is no letter.
         if word.isascii() or max(word) < "ɐ" and "\u0130" not in word:
             if word.isalpha():
-                found = self.piece(word.lower())
-            elif "<|" in word or any(c < "!" for c in word):
-                found = self.whole(word)
-            else:
-                found = b"".join([self.piece(x) for x in self.pattern.findall(word.lower())])
-        else:
-            found = self.whole(word)
-        self[word] = found
-        return found
+                return self.pieces[word.lower()]
+            if "<|" in word or not word.isprintable():
+                return self.whole(word)
+            pattern = self.ascii if word.isascii() else self.pattern
+            return b"".join(map(self.pieces.__getitem__, pattern.findall(word.lower())))
+        return self.whole(word)
 
     def text(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "\x1c" <= min(text) < " " or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole(text)  # str.split() would drop these four
-        found = b"".join(map(self.__getitem__, text.split()))
-        if len(self) > CACHE_WORDS or len(self.pieces) > CACHE_WORDS:
-            self.clear()
-            self.pieces.clear()
-        return found
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+    def forget(self) -> None:
+        self.words.forget()
+        self.pieces.forget()
 
 
 _worker_ids: dict[str, _WordIds] = {}
@@ -127,6 +148,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), *((part,) if with_ids else ())))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
             yield out.astype({"doc_id": "Int64"})
+        ids_of.forget()  # the worker stays, for tasks of any stage
 
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(lean(cut, True), kind)
@@ -323,7 +345,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = SEARCH_NODES)
     and piece, so no task ranks all pieces of a frequent length. Repeated rows are packed each. An empty table gives
     an empty table.
     """
-    pieces = materialize(pieces, "pieces")
+    with small_batches(pieces.sparkSession):
+        pieces = materialize(pieces, "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     slots: dict[int, list[tuple[int, int, int]]] = {}
     next_rank = dict.fromkeys(counts, 0)
